@@ -22,9 +22,11 @@ from tidemark.functions.variants import (
     is_blank_json,
     is_falsy_json,
     path_text,
+    to_decimal,
     unwrap_date,
     unwrap_decimal,
     unwrap_long,
+    unwrapped,
     variant_items,
 )
 
@@ -44,10 +46,12 @@ __all__ = [
     "strip_text",
     "surrogate_key",
     "symbols_from_text",
+    "to_decimal",
     "truncate_to_millis",
     "unwrap_date",
     "unwrap_decimal",
     "unwrap_long",
+    "unwrapped",
     "variant_items",
     "version_key",
     "window_epoch_bounds",

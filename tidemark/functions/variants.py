@@ -20,11 +20,10 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _raw_or_self(payload: Column, path: str, dtype: str) -> Column:
-    return F.coalesce(
-        F.try_variant_get(payload, f"{path}.raw", dtype),
-        F.try_variant_get(payload, path, dtype),
-    )
+def unwrapped(payload: Column | str, path: str) -> Column:
+    """Value at ``path``, taken out of its ``raw`` wrapper if it has one."""
+    v = _col(payload)
+    return F.coalesce(F.try_variant_get(v, f"{path}.raw", "variant"), F.try_variant_get(v, path, "variant"))
 
 
 def path_text(payload: Column | str, path: str) -> Column:
@@ -32,24 +31,32 @@ def path_text(payload: Column | str, path: str) -> Column:
     return F.try_variant_get(_col(payload), path, "string")
 
 
-def unwrap_decimal(payload: Column | str, path: str, precision: int, scale: int) -> Column:
-    """B2: number at ``path`` as a decimal, rounded half up.
+def to_decimal(value: Column | str, precision: int, scale: int) -> Column:
+    """An unwrapped number as a decimal, rounded half up.
 
     Values too large for the target raise, as a database column would; text
-    that is no number, booleans, NaN and infinities are null.
+    that is no number, booleans, NaN and infinities are null.  ``value`` is
+    read three times, so give it as a column of its own.
     """
-    v = _col(payload)
-    printed = F.coalesce(F.try_variant_get(v, f"{path}.raw", "string"), F.try_variant_get(v, path, "string"))
-    wide = F.when(~printed.isin("true", "false"), _raw_or_self(v, path, _WIDE))
-    approx = _raw_or_self(v, path, "double")
-    oversized = wide.isNull() & (F.abs(approx) >= _WIDE_LIMIT) & (F.abs(approx) < float("inf"))
-    overflow = F.raise_error(F.concat(F.lit("number does not fit the column: "), printed)).cast(_WIDE)
-    return F.when(oversized, overflow).otherwise(wide).cast(f"decimal({precision},{scale})")
+    v = _col(value)
+    approx = F.try_variant_get(v, "$", "double")
+    overflow = F.raise_error(F.lit("number does not fit its decimal column")).cast(_WIDE)
+    wide = (
+        F.when(F.try_variant_get(v, "$", "string").isin("true", "false"), None)
+        .when(F.abs(approx) < _WIDE_LIMIT, F.try_variant_get(v, "$", _WIDE))
+        .when(F.abs(approx) < float("inf"), overflow)
+    )
+    return wide.cast(f"decimal({precision},{scale})")
+
+
+def unwrap_decimal(payload: Column | str, path: str, precision: int, scale: int) -> Column:
+    """B2: number at ``path`` as a decimal."""
+    return to_decimal(unwrapped(payload, path), precision, scale)
 
 
 def unwrap_long(payload: Column | str, path: str) -> Column:
     """B2: number at ``path`` as a long.  ``1.9`` gives 1, the text ``"1.5"`` gives null."""
-    return _raw_or_self(_col(payload), path, "bigint")
+    return F.try_variant_get(unwrapped(payload, path), "$", "bigint")
 
 
 def epoch_date(seconds: Column | str) -> Column:

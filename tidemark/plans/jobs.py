@@ -65,8 +65,9 @@ def split_by_dataset(spark: SparkSession, envelopes: DataFrame) -> DataFrame:
     only its own part and a lost executor never re-reads the text files."""
     path = scratch_path(spark, "batch")
     part = F.when(F.col("dataset").isin(*DATASETS), F.col("dataset")).otherwise(F.lit(_OTHER))
-    envelopes.withColumn("part", part).withColumnRenamed("dataset", "raw_dataset").write.partitionBy("part").parquet(path)
-    stored = spark.read.parquet(path)
+    tagged = envelopes.withColumn("part", part).withColumnRenamed("dataset", "raw_dataset")
+    tagged.write.partitionBy("part").parquet(path)
+    stored = spark.read.schema(tagged.schema).parquet(path)
     return stored.withColumn("dataset", F.when(F.col("part") != _OTHER, F.col("part")).otherwise(F.col("raw_dataset")))
 
 

@@ -12,7 +12,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalars import normalise_symbol, nullif, strip_text
-from tidemark.functions.variants import path_text, unwrap_date, unwrap_decimal, unwrap_long, variant_items
+from tidemark.functions.variants import path_text, to_decimal, unwrap_date, unwrap_long, unwrapped, variant_items
 from tidemark.operators.filters import (
     REASON,
     accepted,
@@ -74,24 +74,28 @@ def _text(path: str, width: int | None = None) -> Column:
     return value if width is None else F.left(value, F.lit(width))
 
 
-def _decimal(path: str, spec: TableSpec, column: str, payload: str = "payload") -> Column:
-    target = spec.schema[column].dataType
-    return unwrap_decimal(payload, path, target.precision, target.scale)
+def _numbers(df: DataFrame, spec: TableSpec, paths: dict[str, str], payload: Column | str = "payload") -> DataFrame:
+    """Add decimals read from payload members, in two steps: the member is
+    taken out once and the conversion reads it several times."""
+    members = {f"_{column}": unwrapped(payload, path) for column, path in paths.items()}
+    types = {column: spec.schema[column].dataType for column in paths}
+    converted = {c: to_decimal(f"_{c}", t.precision, t.scale) for c, t in types.items()}
+    return df.withColumns(members).withColumns(converted)
 
 
 def profile_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
     """B3, C2."""
-    df = tag_skips(
+    tagged = tag_skips(
         _of(envelopes, BASIC_INFO),
         {"missing_symbol": missing_symbol(), "hollow_profile": hollow_profile("payload")},
-    ).select(
+    )
+    df = _numbers(tagged, BASIC_INFO, {"market_cap": "$.market_cap"}).select(
         "*",
         F.lit(batch.snapshot_date).alias("snapshot_date"),
         strip_text(nullif(_text("$.company_name"), "")).alias("company_name"),
         unwrap_long("payload", "$.fullTimeEmployees").alias("employee_count"),
         *[_text(f"$.{n}").alias(n) for n in ("industry", "sector", "city", "phone", "state", "country", "website")],
         _text("$.address1").alias("address"),
-        _decimal("$.market_cap", BASIC_INFO, "market_cap").alias("market_cap"),
         nullif(_text("$.currency", 10), "").alias("currency"),
         nullif(_text("$.exchange", 20), "").alias("exchange"),
         F.lit(0).alias(ELEMENT),
@@ -101,11 +105,12 @@ def profile_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
 
 def price_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
     """B7, C1, C3."""
-    df = _of(envelopes, DAILY_PRICE).select(
+    paths = {f"{n}_price": f"$.{n}" for n in ("open", "high", "low", "close")}
+    df = _numbers(_of(envelopes, DAILY_PRICE), DAILY_PRICE, paths).select(
         "symbol",
         ARRIVAL,
         F.col("record_date").alias("price_date"),
-        *[_decimal(f"$.{n}", DAILY_PRICE, f"{n}_price").alias(f"{n}_price") for n in ("open", "high", "low", "close")],
+        *paths,
         F.lit(None).cast(DAILY_PRICE.schema["adjusted_close"].dataType).alias("adjusted_close"),
         unwrap_long("payload", "$.volume").alias("volume"),
         F.lit(0).alias(ELEMENT),
@@ -130,19 +135,17 @@ def fundamental_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
         "invested_capital": "$.investedCapital",
         "shares_issued": "$.sharesOutstanding",
     }
-    records = _of(envelopes, FUNDAMENTALS).select(
+    undated = F.array().cast("array<variant>")
+    records = _numbers(_of(envelopes, FUNDAMENTALS), FUNDAMENTALS, headline).select(
         "symbol",
         ARRIVAL,
-        *[_decimal(path, FUNDAMENTALS, name).alias(f"_{name}") for name, path in headline.items()],
+        *headline,
         F.filter(
-            F.transform(
-                F.coalesce(variant_items("payload", "$.balanceSheetStatements"), F.array().cast("array<variant>")),
-                lambda s: F.struct(unwrap_date(s, "$.endDate").alias("ended"), s.alias("statement")),
-            ),
-            lambda s: s["ended"].isNotNull(),
+            F.coalesce(variant_items("payload", "$.balanceSheetStatements"), undated),
+            lambda s: unwrap_date(s, "$.endDate").isNotNull(),
         ).alias("_statements"),
     )
-    any_headline = F.coalesce(*[F.col(f"_{name}") for name in headline]).isNotNull()
+    any_headline = F.coalesce(*headline).isNotNull()
     # A missing symbol is one skipped record, whatever it holds.
     wanted = (F.size("_statements") > 0) | any_headline | missing_symbol()
     exploded = records.where(wanted).select(
@@ -150,22 +153,16 @@ def fundamental_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
         F.posexplode_outer(F.when(~missing_symbol(), F.col("_statements"))).alias("_position", "_item"),
     )
     dated = F.col("_item").isNotNull()
-
-    def statement_figure(path: str, name: str) -> Column:
-        own = unwrap_decimal(
-            F.col("_item.statement"), path, FUNDAMENTALS.schema[name].dataType.precision, FUNDAMENTALS.schema[name].dataType.scale
-        )
-        return F.coalesce(nullif(own, 0), F.col(f"_{name}"))
-
-    df = exploded.select(
+    own = {"total_assets": "$.totalAssets", "total_debt": "$.totalDebt"}
+    headlined = exploded.withColumns({f"_head_{c}": F.col(c) for c in own})
+    df = _numbers(headlined, FUNDAMENTALS, own, "_item").select(
         "symbol",
         ARRIVAL,
-        F.when(dated, F.col("_item.ended")).otherwise(F.lit(batch.snapshot_date)).alias("statement_date"),
+        F.when(dated, unwrap_date("_item", "$.endDate")).otherwise(F.lit(batch.snapshot_date)).alias("statement_date"),
         F.when(dated, F.lit("quarterly")).otherwise(F.lit("ttm")).alias("period_type"),
-        statement_figure("$.totalAssets", "total_assets").alias("total_assets"),
-        statement_figure("$.totalDebt", "total_debt").alias("total_debt"),
-        F.col("_invested_capital").alias("invested_capital"),
-        F.col("_shares_issued").alias("shares_issued"),
+        *[F.coalesce(nullif(c, 0), F.col(f"_head_{c}")).alias(c) for c in own],
+        "invested_capital",
+        "shares_issued",
         F.lit(None).cast("string").alias("currency"),
         F.coalesce("_position", F.lit(0)).alias(ELEMENT),
     )
@@ -185,10 +182,8 @@ def holder_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
     kind = F.left(F.lower(strip_text(F.coalesce(nullif(_text("$.holder_type"), ""), F.lit("unknown")))), F.lit(30))
     name = F.coalesce(nullif(strip_text(_text("$.holder")), ""), F.lit(UNKNOWN_HOLDER))
 
-    def measured(path: str, column: str) -> Column:
-        return F.when(~has_breakdown, _decimal(path, HOLDERS, column)).alias(column)
-
-    df = _of(envelopes, HOLDERS).select(
+    measures = {"shares": "$.shares", "market_value": "$.value"}
+    df = _numbers(_of(envelopes, HOLDERS), HOLDERS, measures).select(
         "symbol",
         ARRIVAL,
         F.when(has_breakdown, F.lit("major"))
@@ -197,8 +192,7 @@ def holder_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
         .alias("holder_type"),
         F.when(has_breakdown, F.lit(MAJOR_HOLDER_NAME)).otherwise(F.left(name, F.lit(2000))).alias("holder_name"),
         F.when(has_breakdown, F.lit(batch.snapshot_date)).otherwise(F.col("record_date")).alias("holdings_date"),
-        measured("$.shares", "shares"),
-        measured("$.value", "market_value"),
+        *[F.when(~has_breakdown, F.col(c)).alias(c) for c in measures],
         F.lit(None).cast(HOLDERS.schema["pct_outstanding"].dataType).alias("pct_outstanding"),
         F.lit(0).alias(ELEMENT),
     )
@@ -209,7 +203,7 @@ def holder_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
 def rating_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
     """B6."""
     firm = F.coalesce(nullif(strip_text(_text("$.firm")), ""), F.lit(UNKNOWN_FIRM))
-    df = _of(envelopes, RATINGS).select(
+    df = _numbers(_of(envelopes, RATINGS), RATINGS, {"recommendation_score": "$.recommendation_score"}).select(
         "symbol",
         ARRIVAL,
         F.coalesce("record_date", unwrap_date("payload", "$.epochGradeDate")).alias("rating_date"),
@@ -217,7 +211,7 @@ def rating_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
         _text("$.to_grade", 50).alias("to_grade"),
         _text("$.from_grade", 50).alias("from_grade"),
         _text("$.action", 30).alias("rating_action"),
-        _decimal("$.recommendation_score", RATINGS, "recommendation_score").alias("recommendation_score"),
+        "recommendation_score",
         F.lit(0).alias(ELEMENT),
     )
     rules = {"missing_symbol": missing_symbol(), "missing_date": F.col("rating_date").isNull()}
