@@ -29,10 +29,6 @@ _CORRUPT = "_unreadable"
 _READ_SCHEMA = T.StructType(ENVELOPE_SCHEMA.fields + [T.StructField(_CORRUPT, T.StringType())])
 
 
-class UnreadableRecord(ValueError):
-    """A batch holds lines that are no envelope."""
-
-
 def safe_batch_name(batch_id: str) -> str:
     """Batch id as a path segment: everything but letters, digits, ``_ . -`` becomes ``_``."""
     return re.sub(r"[^A-Za-z0-9_.-]", "_", batch_id)
@@ -46,18 +42,23 @@ def batch_path(root: str, batch_id: str) -> str:
     return f"{root.rstrip('/')}/{safe_batch_name(batch_id)}"
 
 
-def arrival() -> Column:
-    """Arrival order of file rows: explicit number, then file, block and row."""
-    return F.struct(
-        F.col("seq").alias("seq"),
-        F.col("_metadata.file_modification_time").alias("written"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
+_POSITION = ("_written", "_file", "_block")
+
+
+def _with_file_position(raw: DataFrame) -> DataFrame:
+    return raw.select(
+        "*",
+        F.col("_metadata.file_modification_time").alias("_written"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
     )
 
 
-def _finish(raw: DataFrame) -> DataFrame:
+def finish_envelopes(raw: DataFrame) -> DataFrame:
+    """Refuse unreadable lines, fill the source and number the rows.
+
+    Arrival order is the explicit number, then file, block and row.
+    """
     unreadable = F.raise_error(F.concat(F.lit("unreadable envelope: "), F.left(F.col(_CORRUPT), F.lit(200))))
     return raw.select(
         F.when(F.col(_CORRUPT).isNotNull(), unreadable.cast("string")).otherwise(F.col("dataset")).alias("dataset"),
@@ -67,7 +68,7 @@ def _finish(raw: DataFrame) -> DataFrame:
         F.coalesce("source", F.lit(DEFAULT_SOURCE)).alias("source"),
         "load_timestamp",
         "seq",
-        arrival().alias("arrival"),
+        F.struct("seq", *_POSITION, F.monotonically_increasing_id().alias("_row")).alias("arrival"),
     )
 
 
@@ -84,15 +85,19 @@ def _json_options(reader, array_files: bool):
 def read_envelopes(spark: SparkSession, path: str, array_files: bool = False) -> DataFrame:
     """A1: read a batch.  ``array_files`` reads one JSON array per file, which
     Spark cannot split; JSON lines are the format for large batches."""
-    return _finish(_json_options(spark.read, array_files).json(path))
+    return finish_envelopes(_with_file_position(_json_options(spark.read, array_files).json(path)))
 
 
 def stream_envelopes(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """A1 as a stream over a directory of JSON-lines files."""
+    """A1 as a stream over a directory of JSON-lines files.
+
+    Rows can only be numbered inside a micro-batch: pass each one through
+    :func:`finish_envelopes`.
+    """
     reader = _json_options(spark.readStream, False)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return _finish(reader.json(path))
+    return _with_file_position(reader.json(path))
 
 
 def write_envelopes(envelopes: DataFrame, root: str, batch_id: str) -> str:

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.plans.jobs import ingest_batch, refresh_curated, stage_increment
 from tidemark.plans.landing import Batch
 from tidemark.registry import TableSpec
-from tidemark.sources.envelopes import stream_envelopes
+from tidemark.sources.envelopes import finish_envelopes, stream_envelopes
 from tidemark.sources.lake import Lake
 
 
@@ -45,7 +45,7 @@ def ingest_stream(
 
     def handle(envelopes: DataFrame, number: int) -> None:
         batch = Batch(f"stream-{number}", snapshot_date, ingested_at(number), source_system)
-        ingest_batch(lake, envelopes, batch)
+        ingest_batch(lake, finish_envelopes(envelopes), batch)
 
     return _run(stream_envelopes(lake.spark, envelope_path, files_per_trigger), handle, checkpoint)
 
