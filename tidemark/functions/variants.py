@@ -8,9 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Room for 20 whole digits, the widest column of the data model, and 18 decimals.
-_WIDE = "decimal(38,18)"
-_WIDE_LIMIT = 1e20
 _FIRST_EPOCH_SECOND = -62135596800  # 0001-01-01
 _LAST_EPOCH_SECOND = 253402300799  # 9999-12-31
 _SECONDS_PER_DAY = 86_400
@@ -34,19 +31,15 @@ def path_text(payload: Column | str, path: str) -> Column:
 def to_decimal(value: Column | str, precision: int, scale: int) -> Column:
     """An unwrapped number as a decimal, rounded half up.
 
-    Values too large for the target raise, as a database column would; text
-    that is no number, booleans, NaN and infinities are null.  ``value`` is
-    read three times, so give it as a column of its own.
+    A finite number the target has no room for raises, as a database column
+    would; text that is no number, booleans, NaN and infinities are null.
+    ``value`` is read more than once, so give it as a column of its own.
     """
     v = _col(value)
-    approx = F.try_variant_get(v, "$", "double")
-    overflow = F.raise_error(F.lit("number does not fit its decimal column")).cast(_WIDE)
-    wide = (
-        F.when(F.try_variant_get(v, "$", "string").isin("true", "false"), None)
-        .when(F.abs(approx) < _WIDE_LIMIT, F.try_variant_get(v, "$", _WIDE))
-        .when(F.abs(approx) < float("inf"), overflow)
-    )
-    return wide.cast(f"decimal({precision},{scale})")
+    target = f"decimal({precision},{scale})"
+    finite = F.abs(F.try_variant_get(v, "$", "double")) < float("inf")
+    overflow = F.when(finite, F.raise_error(F.lit(f"number does not fit {target}")).cast(target))
+    return F.when(F.schema_of_variant(v) != "BOOLEAN", F.coalesce(F.try_variant_get(v, "$", target), overflow))
 
 
 def unwrap_decimal(payload: Column | str, path: str, precision: int, scale: int) -> Column:

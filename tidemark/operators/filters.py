@@ -20,6 +20,17 @@ class ConstraintViolation(ValueError):
     """A batch holds rows that break a table constraint; nothing was written."""
 
 
+def evaluate_once(df: DataFrame) -> DataFrame:
+    """Keep a later filter from being computed below this point.
+
+    Spark moves a filter under the projection that computes its columns and
+    repeats their expressions there, once per use.  For parsed payloads that
+    multiplies the parsing.  A filter on generated columns stays above the
+    generator, so every expression runs once per row.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def tag_skips(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Add the name of the first rule a row meets, null for accepted rows."""
     reason = F.coalesce(*[F.when(condition, F.lit(name)) for name, condition in rules.items()])

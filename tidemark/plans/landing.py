@@ -17,6 +17,7 @@ from tidemark.operators.filters import (
     REASON,
     accepted,
     any_null,
+    evaluate_once,
     hollow_profile,
     missing_symbol,
     rejected,
@@ -66,7 +67,8 @@ def _of(envelopes: DataFrame, spec: TableSpec) -> DataFrame:
 
 def _finish(tagged: DataFrame, spec: TableSpec, batch: Batch) -> DataFrame:
     business = [f.name for f in spec.fields]
-    return tagged.select(*business, *batch.audit(), ARRIVAL, ELEMENT, REASON)
+    mapped = evaluate_once(tagged.select(*business, ARRIVAL, ELEMENT, REASON))
+    return mapped.select(*business, *batch.audit(), ARRIVAL, ELEMENT, REASON)
 
 
 def _text(path: str, width: int | None = None) -> Column:
@@ -145,6 +147,7 @@ def fundamental_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
             lambda s: unwrap_date(s, "$.endDate").isNotNull(),
         ).alias("_statements"),
     )
+    records = evaluate_once(records)
     any_headline = F.coalesce(*headline).isNotNull()
     # A missing symbol is one skipped record, whatever it holds.
     wanted = (F.size("_statements") > 0) | any_headline | missing_symbol()

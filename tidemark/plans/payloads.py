@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalars import check_window
 from tidemark.functions.variants import epoch_date, first_result, is_falsy_json, unwrap_date, unwrap_long, variant_items
+from tidemark.operators.filters import evaluate_once
 from tidemark.registry import DEFAULT_SOURCE
 
 SUMMARY_ROOT = "quoteSummary"
@@ -163,7 +164,7 @@ def price_records(documents: DataFrame, start: date | str, end: date | str) -> D
         *[variant_items(_RESULT, f"{quote}.{n}").alias(f"_{n}") for n in names],
         F.posexplode(variant_items(_RESULT, "$.timestamp")).alias("_position", "_ts"),
     )
-    df = df.withColumn("_day", epoch_date(unwrap_long("_ts", "$"))).where(
+    df = evaluate_once(df.withColumn("_day", epoch_date(unwrap_long("_ts", "$")))).where(
         F.col("_day").between(F.lit(first), F.lit(last))
     )
     payload = _payload(**{n: F.get(F.col(f"_{n}"), F.col("_position")) for n in names})

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Payload mappings generate large methods; the JVM never compiles one above 8000 bytes of
+    # bytecode, so above that size Spark must split the code instead of fusing it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A value that does not fit its column must fail, as a database would.
     "spark.sql.ansi.enabled": "true",
 }

@@ -99,9 +99,9 @@ def a6_curated_months(spark, sf_dir):
 def a6_curated_holders(spark, sf_dir):
     """Seven years of months, staged twice; the second copy changes nothing."""
     lake = new_lake(spark, "holders")
-    holders = st.line_holders(spark, sf_dir)
+    fill_landing(lake, {HOLDERS.name: st.line_holders(spark, sf_dir)})
     for _ in range(2):
-        months = jobs.stage_increment(lake, HOLDERS, holders)
+        months = jobs.stage_increment(lake, HOLDERS, lake.landing(HOLDERS))
     jobs.refresh_curated(lake, HOLDERS, months)
     kept = ("symbol", "holder_type", "holder_name", "holdings_date", "shares", "market_value", "batch_id")
     return lake.curated(HOLDERS).select(*kept)
