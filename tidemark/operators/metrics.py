@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 
+METRICS_SCHEMA = "table_name string, symbol string, row_count bigint"
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators import quality as q
 from tidemark.operators.fallback import hollow_primary, merge_sources
@@ -19,7 +19,7 @@ from tidemark.operators.filters import accepted, require_constraints
 from tidemark.operators.history import HISTORY_COLUMNS, VALID_TO, history_schema, snapshot_changes
 from tidemark.operators.incremental import Decision, Plan, detect
 from tidemark.operators.merging import last_write_per_key, replace_by_key
-from tidemark.operators.metrics import total_rows
+from tidemark.operators.metrics import METRICS_SCHEMA, total_rows
 from tidemark.operators.versioning import latest_by_key
 from tidemark.plans import models
 from tidemark.plans.checks import mart_checks, model_checks
@@ -44,7 +44,7 @@ from tidemark.registry import (
 )
 from tidemark.session import scratch_path
 from tidemark.sources.envelopes import read_envelopes
-from tidemark.sources.lake import Lake, months_of, newer_than, only_months
+from tidemark.sources.lake import GENERATION, Lake, months_of, newer_than, only_months
 from tidemark.sources.watermark import WatermarkStore
 
 _OTHER = "other"
@@ -89,8 +89,11 @@ def ingest_batch(lake: Lake, envelopes: DataFrame, batch: Batch) -> dict[str, Da
     first write.
     """
     stored = split_by_dataset(lake.spark, envelopes)
+    present = {row[0] for row in stored.select("part").distinct().collect()}  # at most one per dataset, plus one
     candidates = {
-        name: rows.persist(StorageLevel.MEMORY_AND_DISK) for name, rows in map_batch(stored, batch).items()
+        name: rows.persist(StorageLevel.MEMORY_AND_DISK)
+        for name, rows in map_batch(stored, batch).items()
+        if TABLES[name].dataset in present
     }
     try:
         for name, rows in candidates.items():
@@ -99,7 +102,7 @@ def ingest_batch(lake: Lake, envelopes: DataFrame, batch: Batch) -> dict[str, Da
         for name, rows in candidates.items():
             upsert_landing(lake, TABLES[name], accepted(rows))
         reports = {
-            "rows": batch_metrics(candidates),
+            "rows": batch_metrics(candidates) if candidates else lake.spark.createDataFrame([], METRICS_SCHEMA),
             "skipped": skipped_rows(stored, candidates),
             "datasets": stored.groupBy("dataset").agg(F.count(F.lit(1)).alias("record_count")),
         }
@@ -273,13 +276,23 @@ def read_history(lake: Lake) -> DataFrame:
     generation = lake.current_generation(HISTORY_NAME)
     if generation is None:
         return lake.spark.createDataFrame([], schema)
-    closed_parts = [lake.generation_path(HISTORY_NAME, g, "closed") for g in range(1, generation + 1)]
-    reader = lake.spark.read.schema(schema)
-    return reader.parquet(lake.generation_path(HISTORY_NAME, generation, "open")).unionByName(
-        reader.parquet(*closed_parts)
+    return _open_versions(lake, generation).unionByName(_closed_versions(lake, generation))
+
+
+def _open_versions(lake: Lake, generation: int) -> DataFrame:
+    return lake.spark.read.schema(history_schema(DIMENSION_SCHEMA)).parquet(
+        lake.generation_path(HISTORY_NAME, generation, "open")
     )
 
 
+def _closed_versions(lake: Lake, generation: int) -> DataFrame:
+    """Closed rows of all committed runs; a run that failed half-way is ahead of
+    the current generation and is overwritten by the next one."""
+    schema = T.StructType([*history_schema(DIMENSION_SCHEMA).fields, T.StructField(GENERATION, T.LongType())])
+    every = lake.spark.read.schema(schema).parquet(f"{lake.path('published', HISTORY_NAME)}/closed")
+    return every.where(F.col(GENERATION) <= generation).drop(GENERATION)
+
+
 def snapshot_dimension(lake: Lake, run_at: datetime) -> int:
     """One snapshot run.
 
@@ -291,7 +304,7 @@ def snapshot_dimension(lake: Lake, run_at: datetime) -> int:
     if last is None:
         open_rows = lake.spark.createDataFrame([], schema)
     else:
-        open_rows = lake.spark.read.schema(schema).parquet(lake.generation_path(HISTORY_NAME, last, "open"))
+        open_rows = _open_versions(lake, last)
     source = lake.published(DIMENSION_NAME, DIMENSION_SCHEMA)
     changes = snapshot_changes(open_rows, source, "symbol", "ingested_at", run_at)
     changes = changes.select(*DIMENSION_SCHEMA.fieldNames(), *HISTORY_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)

@@ -17,6 +17,9 @@ SETTINGS = {
     # Payload mappings generate large methods; the JVM never compiles one above 8000 bytes of
     # bytecode, so above that size Spark must split the code instead of fusing it.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # The default timestamp encoding has no statistics; with this one a scan for rows after a
+    # watermark skips every row group that is older.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # A value that does not fit its column must fail, as a database would.
     "spark.sql.ansi.enabled": "true",
 }
