@@ -86,6 +86,22 @@ def test_hot_month_is_stored_whole(spark, lake):
     assert stored.where("yyyymm = 202403").count() == hot_prices(spark).where("price_date BETWEEN '2024-03-01' AND '2024-03-31'").count()
 
 
+def test_hot_month_is_split_over_tasks(spark, lake):
+    """A month far above the advised task size is written by several tasks."""
+    apply_settings(spark)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "65536")
+    try:
+        lake.append_staging(DAILY_PRICE, hot_prices(spark, 120_000))
+    finally:
+        spark.conf.set(size, before)
+    files = lake.staging(DAILY_PRICE).select("yyyymm", F.input_file_name().alias("file")).distinct()
+    per_month = {r["yyyymm"]: r["count"] for r in files.groupBy("yyyymm").count().collect()}
+    assert per_month[202403] > 2, per_month
+    assert lake.staging(DAILY_PRICE).count() == 120_000
+
+
 def test_watermark_scan_uses_statistics(spark, lake):
     apply_settings(spark)
     lake.overwrite_months("landing", DAILY_PRICE.name, hot_prices(spark), "price_date", ("symbol",))

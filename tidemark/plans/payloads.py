@@ -108,28 +108,32 @@ def statement_records(documents: DataFrame) -> DataFrame:
 def ownership_records(documents: DataFrame) -> DataFrame:
     """One ``holders`` record per list entry, or one placeholder per document.
 
-    The lists are joined into one array that gets a null entry when empty, so
-    a document is read once and exploded once.
+    The two lists are joined and exploded once; the position of an entry tells
+    which list it came from, and a document without entries keeps one row.
     """
     carry = _carried(documents)
-
-    def entries(holder_type: str, path: str) -> Column:
-        items = F.coalesce(variant_items(_RESULT, path), F.array().cast("array<variant>"))
-        return F.transform(items, lambda item: F.struct(F.lit(holder_type).alias("holder_type"), item.alias("item")))
-
-    listed = F.concat(*[entries(kind, path) for kind, path in OWNERSHIP_PATHS.items()])
-    exploded = _with_result(documents, SUMMARY_ROOT).select(
-        "symbol", *carry, _RESULT, F.posexplode_outer(listed).alias("_position", "_entry")
+    none = F.array().cast("array<variant>")
+    lists = {kind: F.coalesce(variant_items(_RESULT, path), none) for kind, path in OWNERSHIP_PATHS.items()}
+    df = (
+        _with_result(documents, SUMMARY_ROOT)
+        .select("symbol", *carry, _RESULT, *[c.alias(f"_{kind}") for kind, c in lists.items()])
+        .select(
+            "symbol",
+            *carry,
+            _RESULT,
+            F.size("_institution").alias("_institutions"),
+            F.posexplode_outer(F.concat(*[F.col(f"_{kind}") for kind in lists])).alias("_position", "_item"),
+        )
     )
-    df = exploded.withColumn("_item", F.col("_entry.item"))
+    first_list, second_list = OWNERSHIP_PATHS
     position = _payload(
         holder=_variant("$.organization", "_item"),
         shares=_raw("$.position", "_item"),
         value=_raw("$.value", "_item"),
-        holder_type=F.col("_entry.holder_type"),
+        holder_type=F.when(F.col("_position") < F.col("_institutions"), first_list).otherwise(second_list),
     )
     breakdown = F.coalesce(_variant("$.majorHoldersBreakdown"), F.parse_json(F.lit("{}")))
-    payload = F.when(F.col("_entry").isNull(), _payload(majorHoldersBreakdown=breakdown)).otherwise(position)
+    payload = F.when(F.col("_position").isNull(), _payload(majorHoldersBreakdown=breakdown)).otherwise(position)
     return _envelopes(df, "holders", unwrap_date("_item", "$.reportDate"), payload, _with_position(carry))
 
 

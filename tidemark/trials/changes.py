@@ -49,7 +49,7 @@ def a7_keyed_upsert(spark, sf_dir):
     events = st.table(spark, sf_dir, "events").select(*_EVENT_KEY, "event_id", "value", "ts")
     cut = F.lit(f"{_CUT} 00:00:00").cast("timestamp_ntz")
     older = events.where(F.col("ts") < cut)
-    target = upsert(older.limit(0).select(*_EVENT_KEY, "event_id", "value"), older, _EVENT_KEY, ["ts", "event_id"])
+    target = upsert(older.where(F.lit(False)).select(*_EVENT_KEY, "event_id", "value"), older, _EVENT_KEY, ["ts", "event_id"])
     return upsert(target, events.where(F.col("ts") >= cut), _EVENT_KEY, ["event_id"])
 
 

@@ -130,7 +130,7 @@ def k2_model_checks(spark, sf_dir):
     the suppliers and over facts with repeated keys (K1-K8, D5, E9)."""
     market = st.market(spark, sf_dir)
     known = dict(market)
-    known.update({n: market[n].limit(0) for n in (DAILY_PRICE.name, HOLDERS.name)})
+    known.update({n: market[n].where(F.lit(False)) for n in (DAILY_PRICE.name, HOLDERS.name)})
     dimension = models.dimension(known, st.LOADED_AT)
     facts = {n: models.fact_rows(market[f.source.name], f) for n, f in FACTS.items()}
     summary = models.monthly_summary(market[DAILY_PRICE.name])
