@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -64,3 +66,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_directory(spark)}/tidemark/{label}-{uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers on every machine import this package, once per context."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return spark
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tidemark-ship-")) / "tidemark.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tidemark_shipped = True
+    return spark
