@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import mixing, repeats, simhash, token_counts, token_files
+from tidemark.session import scratch_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,12 +18,76 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file; every machine has it under the same path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
-    return build
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build(ship_package(spark), sf_dir)
+
+    run.__name__, run.__doc__ = build.__name__, build.__doc__
+    QUERIES[build.__name__] = run
+    return run
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("removed").alias("n_ranges")
+    )
+
+
+#: Words, every window of 35, windows that occur again, and the words they cover.
+ORACLES["op1_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), starts AS (
+  SELECT doc_id, p, md5(array_to_string(w[p:p + 34], ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)
+), again AS (
+  SELECT g FROM starts GROUP BY g HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS i FROM starts SEMI JOIN again USING (g)
+), placed AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d
+), marked AS (
+  SELECT p.doc_id, p.word, p.i, g.i IS NOT NULL AS out FROM placed p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.i = p.i
+), kept AS (
+  SELECT doc_id, count_if(out) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT out), '') AS kept,
+         count_if(out AND NOT before) AS n_ranges
+  FROM (SELECT *, coalesce(lag(out) OVER (PARTITION BY doc_id ORDER BY i), false) AS before FROM marked)
+  GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256, CAST(coalesce(n_ranges, 0) AS INTEGER) AS n_ranges
+FROM d LEFT JOIN kept USING (doc_id)
+"""
 
 
 @query
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
+    return token_files.token_digests(token_files.read_token_files(spark, path))
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.words_taken(mixing.mix(table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")

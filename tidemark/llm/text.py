@@ -1,10 +1,10 @@
-"""Words, word hashes, rolling hashes and row keys shared by the operators."""
+"""Words, word hashes and rolling hashes shared by the operators."""
 
 from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 #: Mixed odd multipliers of the rolling hashes.
 _RADIX = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -12,12 +12,12 @@ _SALT = (0, 0xA0761D6478BD642F)
 _U64 = np.uint64
 
 
-def with_row_key(docs: DataFrame, name: str = "_row") -> DataFrame:
-    """A key for every row, also where ids repeat or are null.
-
-    ``docs`` must be a table scan, so that a recomputed task gives the same keys.
-    """
-    return docs.withColumn(name, F.monotonically_increasing_id())
+def fresh_name(docs: DataFrame, base: str) -> str:
+    """``base``, or a longer name that no column of ``docs`` has in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while base in taken:
+        base += "_"
+    return base
 
 
 class WordHashes(dict):
