@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import mixing, repeats, simhash, token_counts, token_files
+from tidemark.llm import digest, mixing, repeats, simhash, token_counts, token_files
 from tidemark.session import scratch_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,11 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+@query
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
