@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import digest, mixing, repeats, simhash, token_counts, token_files, toxicity
+from tidemark.llm import digest, mixing, repeats, secret_scan, simhash, token_counts, token_files, toxicity
 from tidemark.session import scratch_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,18 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    spell = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    base = of(*secret_scan.KINDS)
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secret_scan.KINDS]
+    return found.select("doc_id", *counts, F.sha2(spell(base), 256).alias("base_sha256"), spell(F.col("spans")).alias("spans"))
+
+
 @query
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
