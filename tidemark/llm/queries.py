@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import digest, mixing, repeats, secret_scan, simhash, token_counts, token_files, toxicity
+from tidemark.llm import decontamination, digest, mixing, repeats, secret_scan, simhash, token_counts, token_files, toxicity
 from tidemark.session import scratch_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,11 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -37,13 +37,26 @@ class WordHashes(dict):
 _HASHES = WordHashes()
 
 
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_HASHES.__getitem__, words), dtype=_U64, count=len(words))
+
+
+_IN_WORD = np.ones(256, dtype=bool)
+_IN_WORD[[0x20, *range(0x09, 0x0E)]] = False
+
+
 def words_of(text: str | None) -> list[bytes]:
-    """Maximal runs outside space and \\x09-\\x0D, as UTF-8; null has none."""
+    """Maximal runs outside space and the characters 9 to 13, as UTF-8; null has none."""
     return text.encode().split() if text else []
 
 
-def hashes_of(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), dtype=_U64, count=len(words))
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words of a text, in order."""
+    data = np.frombuffer(text.encode(), dtype=np.uint8) if text else np.zeros(0, dtype=np.uint8)
+    inside = np.zeros(len(data) + 2, dtype=bool)
+    inside[1:-1] = _IN_WORD[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return Rolling(data.astype(_U64) + _U64(1)).runs(edges[::2], edges[1::2])
 
 
 class _Powers:
