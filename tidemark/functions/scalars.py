@@ -27,9 +27,9 @@ def first_truthy(*columns: Column | str) -> Column:
     return F.coalesce(*[nullif(c, "") for c in columns])
 
 
-def normalise_symbol(c: Column | str, width: int = 20) -> Column:
-    """Trim, upper-case and cut a ticker.  Null stays null."""
-    return F.left(F.upper(strip_text(c)), F.lit(width))
+def normalise_symbol(c: Column | str) -> Column:
+    """Trim and upper-case a ticker, whatever its length.  Null stays null."""
+    return F.upper(strip_text(c))
 
 
 def symbols_from_text(c: Column | str, separator: str = ",") -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.session import ensure_checkpoint_dir
 
-SCREEN_SIZE = 250
 DEFAULT_LIMIT = 25
 
 # The screen for listed companies of the sector.
@@ -40,16 +39,18 @@ def ranked_universe(
     rank_by: str,
     tie_break: str,
     limit: int = DEFAULT_LIMIT,
-    screen_size: int = SCREEN_SIZE,
+    screen_size: int | None = None,
 ) -> DataFrame:
-    """The largest ``screen_size`` of the coarse filter, then the fine
-    filter, then the first ``limit``.
+    """All quotes that pass both filters, largest first, up to ``limit``.
 
-    The first cut comes before the fine filter by definition.  Each cut runs
-    as a top-k per task and a merge of at most k rows per task.
+    ``screen_size`` keeps only so many of the coarse filter before the fine one,
+    as a paged source would; without it no eligible symbol is lost.  Each cut
+    runs as a top-k per task and a merge of at most k rows per task.
     """
     order = [F.col(rank_by).desc_nulls_last(), F.col(tie_break).asc()]
-    largest = quotes.where(coarse).orderBy(*order).limit(screen_size)
+    largest = quotes.where(coarse)
+    if screen_size is not None:
+        largest = largest.orderBy(*order).limit(screen_size)
     return largest.where(fine).orderBy(*order).limit(limit)
 
 

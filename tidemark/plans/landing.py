@@ -71,9 +71,9 @@ def _finish(tagged: DataFrame, spec: TableSpec, batch: Batch) -> DataFrame:
     return mapped.select(*business, *batch.audit(), ARRIVAL, ELEMENT, REASON)
 
 
-def _text(path: str, width: int | None = None) -> Column:
-    value = path_text("payload", path)
-    return value if width is None else F.left(value, F.lit(width))
+def _text(path: str) -> Column:
+    """Text of a payload member, whole: keys and values have no width."""
+    return path_text("payload", path)
 
 
 def _numbers(df: DataFrame, spec: TableSpec, paths: dict[str, str], payload: Column | str = "payload") -> DataFrame:
@@ -98,8 +98,8 @@ def profile_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
         unwrap_long("payload", "$.fullTimeEmployees").alias("employee_count"),
         *[_text(f"$.{n}").alias(n) for n in ("industry", "sector", "city", "phone", "state", "country", "website")],
         _text("$.address1").alias("address"),
-        nullif(_text("$.currency", 10), "").alias("currency"),
-        nullif(_text("$.exchange", 20), "").alias("exchange"),
+        nullif(_text("$.currency"), "").alias("currency"),
+        nullif(_text("$.exchange"), "").alias("exchange"),
         F.lit(0).alias(ELEMENT),
     )
     return _finish(df, BASIC_INFO, batch)
@@ -182,7 +182,7 @@ def holder_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
     has_breakdown = path_text("payload", "$.majorHoldersBreakdown").isNotNull() & path_text(
         "payload", "$.holder"
     ).isNull()
-    kind = F.left(F.lower(strip_text(F.coalesce(nullif(_text("$.holder_type"), ""), F.lit("unknown")))), F.lit(30))
+    kind = F.lower(strip_text(F.coalesce(nullif(_text("$.holder_type"), ""), F.lit("unknown"))))
     name = F.coalesce(nullif(strip_text(_text("$.holder")), ""), F.lit(UNKNOWN_HOLDER))
 
     measures = {"shares": "$.shares", "market_value": "$.value"}
@@ -193,7 +193,7 @@ def holder_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
         .when(kind == "fund", F.lit("mutual_fund"))
         .otherwise(kind)
         .alias("holder_type"),
-        F.when(has_breakdown, F.lit(MAJOR_HOLDER_NAME)).otherwise(F.left(name, F.lit(2000))).alias("holder_name"),
+        F.when(has_breakdown, F.lit(MAJOR_HOLDER_NAME)).otherwise(name).alias("holder_name"),
         F.when(has_breakdown, F.lit(batch.snapshot_date)).otherwise(F.col("record_date")).alias("holdings_date"),
         *[F.when(~has_breakdown, F.col(c)).alias(c) for c in measures],
         F.lit(None).cast(HOLDERS.schema["pct_outstanding"].dataType).alias("pct_outstanding"),
@@ -210,10 +210,10 @@ def rating_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:
         "symbol",
         ARRIVAL,
         F.coalesce("record_date", unwrap_date("payload", "$.epochGradeDate")).alias("rating_date"),
-        F.left(firm, F.lit(500)).alias("firm_name"),
-        _text("$.to_grade", 50).alias("to_grade"),
-        _text("$.from_grade", 50).alias("from_grade"),
-        _text("$.action", 30).alias("rating_action"),
+        firm.alias("firm_name"),
+        _text("$.to_grade").alias("to_grade"),
+        _text("$.from_grade").alias("from_grade"),
+        _text("$.action").alias("rating_action"),
         "recommendation_score",
         F.lit(0).alias(ELEMENT),
     )

@@ -79,7 +79,7 @@ PROFILE_ROWS_SQL = """profile_rows AS (
   SELECT 'C' || CAST(c_custkey AS VARCHAR) AS symbol, c_name AS company_name, c_mktsegment AS industry,
     r_name AS sector, c_custkey AS employee_count, n_name AS city, r_name AS country,
     'Street ' || CAST(c_custkey AS VARCHAR) AS address, CAST(abs(c_acctbal) AS DECIMAL(18,2)) AS market_cap,
-    'US DOLLARS' AS currency, left('EXCHANGE OF THE ' || n_name, 20) AS exchange
+    'US DOLLARS' AS currency, 'EXCHANGE OF THE ' || n_name AS exchange
   FROM customers WHERE c_custkey % 5 <> 4)"""
 
 

@@ -310,7 +310,7 @@ def b10_fundamentals_fallback(spark, sf_dir):
 
 @trial(
     "b11_normalised_symbols",
-    "SELECT p_partkey, left(upper(p_name || ' ' || p_brand || ' ' || p_type), 20) AS symbol FROM part",
+    "SELECT p_partkey, upper(p_name || ' ' || p_brand || ' ' || p_type) AS symbol FROM part",
 )
 def b11_normalised_symbols(spark, sf_dir):
     padded = F.concat(F.lit("\t  "), F.concat_ws(" ", "p_name", "p_brand", "p_type"), F.lit(" \n"))
