@@ -57,7 +57,9 @@ def _with_file_position(raw: DataFrame) -> DataFrame:
 def finish_envelopes(raw: DataFrame) -> DataFrame:
     """Refuse unreadable lines, fill the source and number the rows.
 
-    Arrival order is the explicit number, then file, block and row.
+    Numbers count inside a load, so arrival order is the load first: its instant (of
+    the file, where a record has none) and its folder.  Then come the record's
+    number, file, block and row.
     """
     unreadable = F.raise_error(F.concat(F.lit("unreadable envelope: "), F.left(F.col(_CORRUPT), F.lit(200))))
     return raw.select(
@@ -68,7 +70,13 @@ def finish_envelopes(raw: DataFrame) -> DataFrame:
         F.coalesce("source", F.lit(DEFAULT_SOURCE)).alias("source"),
         "load_timestamp",
         "seq",
-        F.struct("seq", *_POSITION, F.monotonically_increasing_id().alias("_row")).alias("arrival"),
+        F.struct(
+            F.coalesce("load_timestamp", "_written").alias("load"),
+            F.regexp_replace("_file", "[^/]*$", "").alias("folder"),
+            "seq",
+            *_POSITION,
+            F.monotonically_increasing_id().alias("_row"),
+        ).alias("arrival"),
     )
 
 
@@ -119,7 +127,15 @@ def write_envelopes(envelopes: DataFrame, root: str, batch_id: str) -> str:
 
 
 def with_arrival(envelopes: DataFrame) -> DataFrame:
-    """Arrival order of envelopes that were not read from files: their number,
-    then their position inside the document they came from."""
-    position = F.col("_position") if "_position" in envelopes.columns else F.lit(0)
-    return envelopes.withColumn("arrival", F.struct(F.col("seq").alias("seq"), F.coalesce(position, F.lit(0)).alias("row")))
+    """Arrival order of envelopes that were not read from files: their load,
+    their number, then their position inside the document they came from."""
+
+    def given(name: str, kind: str) -> Column:
+        return F.col(name).cast(kind) if name in envelopes.columns else F.lit(None).cast(kind)
+
+    arrival = F.struct(
+        given("load_timestamp", "timestamp").alias("load"),
+        given("seq", "bigint").alias("seq"),
+        F.coalesce(given("_position", "int"), F.lit(0)).alias("row"),
+    )
+    return envelopes.withColumn("arrival", arrival)
