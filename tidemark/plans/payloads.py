@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalars import check_window
 from tidemark.functions.variants import epoch_date, first_result, is_falsy_json, unwrap_date, unwrap_long, variant_items
-from tidemark.operators.filters import evaluate_once
 from tidemark.registry import DEFAULT_SOURCE
 
 SUMMARY_ROOT = "quoteSummary"
@@ -156,22 +155,26 @@ def grade_records(documents: DataFrame) -> DataFrame:
 def price_records(documents: DataFrame, start: date | str, end: date | str) -> DataFrame:
     """One ``daily_prices`` record per timestamp inside the window.
 
-    Value arrays shorter than the timestamps give null.
+    Value arrays shorter than the timestamps give null.  Arrays are zipped before
+    they are exploded, so a row carries its own values and no array.
     """
     first, last = check_window(start, end)
     carry = _carried(documents)
     quote = "$.indicators.quote[0]"
     names = ("open", "high", "low", "close", "volume")
-    df = _with_result(documents, CHART_ROOT).select(
+    lists = _with_result(documents, CHART_ROOT).select(
         "symbol",
         *carry,
+        variant_items(_RESULT, "$.timestamp").alias("_ts"),
         *[variant_items(_RESULT, f"{quote}.{n}").alias(f"_{n}") for n in names],
-        F.posexplode(variant_items(_RESULT, "$.timestamp")).alias("_position", "_ts"),
     )
-    df = evaluate_once(df.withColumn("_day", epoch_date(unwrap_long("_ts", "$")))).where(
-        F.col("_day").between(F.lit(first), F.lit(last))
+    none = F.array().cast("array<variant>")
+    zipped = F.arrays_zip("_ts", *[F.coalesce(f"_{n}", none).alias(f"_{n}") for n in names])
+    df = lists.select("symbol", *carry, F.posexplode(zipped).alias("_position", "_quote")).select(
+        "symbol", *carry, "_position", "_quote.*"
     )
-    payload = _payload(**{n: F.get(F.col(f"_{n}"), F.col("_position")) for n in names})
+    df = df.withColumn("_day", epoch_date(unwrap_long("_ts", "$"))).where(F.col("_day").between(F.lit(first), F.lit(last)))
+    payload = _payload(**{n: F.col(f"_{n}") for n in names})
     return _envelopes(df, "daily_prices", F.col("_day"), payload, _with_position(carry))
 
 
