@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.scalars import first_truthy, normalise_symbol, nullif, strip_text
 from tidemark.operators.fallback import PROFILE_FIELDS, usable_fallback
@@ -30,9 +30,6 @@ FROM_GRADES = ("FromGrade", "From Grade", "from_grade")
 GRADE_ACTIONS = ("Action",)
 GRADE_SCORES = ("recommendation", "rating", "score")
 
-_EXACT_LIMIT = 9e15
-
-
 def resolve(df: DataFrame, names: Sequence[str]) -> str | None:
     """The column whose name equals one of ``names`` in any case."""
     by_lower = {c.lower(): c for c in df.columns}
@@ -40,18 +37,29 @@ def resolve(df: DataFrame, names: Sequence[str]) -> str | None:
 
 
 def resolved(df: DataFrame, names: Sequence[str], dtype: str) -> Column:
-    """The resolved column, or null of the wanted type."""
+    """The resolved column, or null of the wanted type; a value that isn't of the type is null too."""
+    found = resolve(df, names)
+    return F.lit(None).cast(dtype) if found is None else F.col(f"`{found}`").try_cast(dtype)
+
+
+_EXACT = "decimal(38,6)"
+
+
+def exact_number(df: DataFrame, names: Sequence[str]) -> Column:
+    """The resolved column as a decimal, so that no digit of a whole number is lost.
+
+    What no decimal holds (text that is no number, NaN, infinities, numbers of
+    over 32 digits) is null.
+    """
     found = resolve(df, names)
-    return F.lit(None).cast(dtype) if found is None else F.col(f"`{found}`").cast(dtype)
+    return F.lit(None).cast(_EXACT) if found is None else F.col(f"`{found}`").try_cast(_EXACT)
 
 
-def wrapped_number(c: Column) -> Column:
-    """``{"raw": n}`` with whole numbers as integers; null and NaN give null."""
-    number = c.cast("double")
-    whole = (number == F.floor(number)) & (F.abs(number) <= _EXACT_LIMIT)
-    finite = number.isNotNull() & ~F.isnan(number)
-    return F.when(finite & whole, F.to_variant_object(F.struct(number.cast("bigint").alias("raw")))).when(
-        finite, F.to_variant_object(F.struct(number.alias("raw")))
+def wrapped_number(number: Column) -> Column:
+    """``{"raw": n}`` with whole numbers as integers, in the type's own digits; null gives null."""
+    integer = number.cast("decimal(38,0)")
+    return F.when(number % 1 == 0, F.to_variant_object(F.struct(integer.alias("raw")))).when(
+        number.isNotNull(), F.to_variant_object(F.struct(number.alias("raw")))
     )
 
 
@@ -67,7 +75,7 @@ def _envelope(df: DataFrame, dataset: str, record_date: Column, payload: Column)
     carry = ["seq"] if "seq" in df.columns else []
     return df.select(
         F.lit(dataset).alias("dataset"),
-        normalise_symbol("symbol", 2000).alias("symbol"),
+        normalise_symbol("symbol").alias("symbol"),
         record_date.alias("record_date"),
         payload.alias("payload"),
         F.lit(DEFAULT_SOURCE).alias("source"),
@@ -82,22 +90,19 @@ def statement_periods(wide: DataFrame, metric: str, periods: Sequence[str], by:
     Only the metrics of interest are kept before the rows are regrouped, so a
     period has at most that many rows.
     """
-    long = wide.where(F.col(metric).isin(*STATEMENT_METRICS)).unpivot(
+    amounts = [F.col(f"`{p}`").try_cast(_EXACT).alias(p) for p in periods]
+    long = wide.where(F.col(metric).isin(*STATEMENT_METRICS)).select(*by, metric, *amounts).unpivot(
         [*by, metric], list(periods), "period_end", "amount"
     )
-    per_period = long.groupBy(*by, "period_end").agg(
+    # Two spellings of a day are one period.
+    dated = long.withColumn("period_end", F.col("period_end").try_cast("date")).where("period_end IS NOT NULL")
+    per_period = dated.groupBy(*by, "period_end").agg(
         *[
-            F.max(F.when(F.col(metric) == label, nan_to_null(F.col("amount")))).alias(name)
+            F.max(F.when(F.col(metric) == label, F.col("amount"))).alias(name)
             for label, name in STATEMENT_METRICS.items()
         ]
     )
-    return per_period.where(F.coalesce(*STATEMENT_METRICS.values()).isNotNull()).withColumn(
-        "period_end", F.to_date("period_end")
-    )
-
-
-def nan_to_null(c: Column) -> Column:
-    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+    return per_period.where(F.coalesce(*STATEMENT_METRICS.values()).isNotNull())
 
 
 def profile_fallback(info: DataFrame) -> DataFrame:
@@ -116,29 +121,20 @@ def fundamentals_fallback(info: DataFrame, periods: DataFrame) -> DataFrame:
     ``periods`` is the result of :func:`statement_periods`; a list holds one
     entry per reporting period of the symbol.
     """
-    entry = F.struct(
-        F.col("period_end"),
-        _payload(
-            endDate=F.to_variant_object(F.struct(_midnight(F.col("period_end")).alias("raw"))),
-            **{name: wrapped_number(F.col(name)) for name in STATEMENT_METRICS.values()},
-        ).alias("statement"),
-    )
-    dated = periods.select("symbol", F.col("period_end"), entry["statement"].alias("statement"))
-    listed = dated.groupBy("symbol").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("period_end"), F.col("statement")))).alias("_by_period")
-    )
-    ordered = listed.select(
-        "symbol",
-        F.transform(
-            F.sort_array(F.map_keys("_by_period"), asc=False), lambda day: F.col("_by_period")[day]
-        ).alias("_statements"),
-    )
+    figures = list(STATEMENT_METRICS.values())
+    listed = periods.groupBy("symbol").agg(F.collect_list(F.struct("period_end", *figures)).alias("_periods"))
+
+    def statement(period: Column) -> Column:
+        return _payload(
+            endDate=F.to_variant_object(F.struct(_midnight(period["period_end"]).alias("raw"))),
+            **{name: wrapped_number(period[name]) for name in figures},
+        )
+
+    ordered = listed.select("symbol", F.transform(F.sort_array("_periods", asc=False), statement).alias("_statements"))
     joined = info.join(ordered, "symbol", "left")
-    *preferred, last = [nan_to_null(resolved(info, (n,), "double")) for n in SHARES_NAMES]
+    *preferred, last = [exact_number(info, (n,)) for n in SHARES_NAMES]
     shares = F.coalesce(*[nullif(c, 0) for c in preferred], last)
-    members = {
-        name: wrapped_number(resolved(info, (name,), "double")) for name in ("totalAssets", "totalDebt", "investedCapital")
-    }
+    members = {name: wrapped_number(exact_number(info, (name,))) for name in ("totalAssets", "totalDebt", "investedCapital")}
     members["sharesOutstanding"] = wrapped_number(shares)
     members["balanceSheetStatements"] = F.coalesce(
         F.to_variant_object(F.col("_statements")), F.parse_json(F.lit("[]"))
@@ -155,8 +151,8 @@ def holders_fallback(positions: DataFrame, holder_type: str) -> DataFrame:
     reported = resolved(positions, HOLDER_DATES, "date")
     payload = _payload(
         holder=strip_text(holder),
-        shares=wrapped_number(resolved(positions, HOLDER_SHARES, "double")),
-        value=wrapped_number(resolved(positions, HOLDER_VALUES, "double")),
+        shares=wrapped_number(exact_number(positions, HOLDER_SHARES)),
+        value=wrapped_number(exact_number(positions, HOLDER_VALUES)),
         holder_type=F.lit(holder_type),
     )
     kept = positions.where(holder.isNotNull() & reported.isNotNull())
@@ -164,10 +160,17 @@ def holders_fallback(positions: DataFrame, holder_type: str) -> DataFrame:
 
 
 def ratings_fallback(grades: DataFrame) -> DataFrame:
-    """Dated grades with the firm filled and an optional score."""
-    if resolve(grades, GRADE_DATES) is None:
+    """Dated grades with the firm filled and an optional score.
+
+    Without a column of a known name, the first one of dates or instants is the
+    date; without that either there are no grades.
+    """
+    instants = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    others = [f.name for f in grades.schema.fields if isinstance(f.dataType, instants)]
+    known = resolve(grades, GRADE_DATES) or next(iter(others), None)
+    if known is None:
         return _envelope(grades, "ratings", F.lit(None).cast("date"), F.parse_json(F.lit("{}"))).where(F.lit(False))
-    day = resolved(grades, GRADE_DATES, "date")
+    day = resolved(grades, (known,), "date")
     firm = nullif(strip_text(resolved(grades, GRADE_FIRMS, "string")), "")
     payload = _payload(
         firm=F.coalesce(firm, F.lit(UNKNOWN_FIRM)),
@@ -175,6 +178,6 @@ def ratings_fallback(grades: DataFrame) -> DataFrame:
         from_grade=resolved(grades, FROM_GRADES, "string"),
         action=resolved(grades, GRADE_ACTIONS, "string"),
         epochGradeDate=F.to_variant_object(F.struct(_midnight(day).alias("raw"))),
-        recommendation_score=nan_to_null(resolved(grades, GRADE_SCORES, "double")),
+        recommendation_score=F.nanvl(resolved(grades, GRADE_SCORES, "double"), F.lit(None).cast("double")),
     )
     return _envelope(grades.where(day.isNotNull()), "ratings", day, payload)
