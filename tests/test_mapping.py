@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.filters import REASON, accepted
 from tidemark.plans import landing, payloads, second_source
-from tidemark.sources.envelopes import read_envelopes, with_arrival
+from tidemark.sources.envelopes import read_envelopes, with_arrival, write_envelopes
 
 AT = datetime(2024, 2, 1, 7, tzinfo=timezone.utc)
 BATCH = landing.Batch("b1", date(2024, 2, 1), AT, "test")
@@ -47,7 +47,7 @@ def test_profiles(spark):
     assert reasons(df) == [None, "missing_symbol", "missing_symbol", "hollow_profile", None]
     first, second = rows(df)
     assert (first["symbol"], first["company_name"], first["market_cap"]) == ("JPM", "JP", Decimal("5.00"))
-    assert (first["currency"], first["exchange"]) == (None, "N" * 20)
+    assert (first["currency"], first["exchange"]) == (None, "N" * 30)
     assert (second["employee_count"], second["snapshot_date"], second["ingested_at"]) == (7, date(2024, 2, 1), AT.replace(tzinfo=None))
 
 
@@ -104,7 +104,7 @@ def test_holders(spark):
     fund, major, named = rows(df)
     assert (fund["holder_type"], fund["holder_name"], fund["shares"]) == ("mutual_fund", "UNKNOWN_HOLDER", 2)
     assert (major["holder_type"], major["holder_name"], major["holdings_date"]) == ("major", "_major_holders_breakdown", date(2024, 2, 1))
-    assert (named["holder_type"], len(named["holder_name"])) == ("unknown", 2000)
+    assert (named["holder_type"], len(named["holder_name"])) == ("unknown", 3000)
 
 
 def test_ratings(spark):
@@ -119,8 +119,8 @@ def test_ratings(spark):
     )
     assert reasons(df) == [None, "missing_date", None]
     first, second = rows(df)
-    assert (first["firm_name"], first["rating_date"], len(first["to_grade"]), len(first["rating_action"])) == ("UNKNOWN_FIRM", date(2024, 1, 1), 50, 30)
-    assert (len(second["firm_name"]), second["rating_date"], second["recommendation_score"]) == (500, date(2024, 1, 5), Decimal("2.3457"))
+    assert (first["firm_name"], first["rating_date"], len(first["to_grade"]), len(first["rating_action"])) == ("UNKNOWN_FIRM", date(2024, 1, 1), 60, 40)
+    assert (len(second["firm_name"]), second["rating_date"], second["recommendation_score"]) == (600, date(2024, 1, 5), Decimal("2.3457"))
 
 
 def documents(spark, *docs):
@@ -176,6 +176,52 @@ def test_array_file_and_default_source(spark, tmp_path):
         {"dataset": "basics", "symbol": "B", "record_date": "2024-01-02", "payload": {}, "source": "s", "load_timestamp": "2024-01-01T05:00:00+02:00"},
     ]
     (tmp_path / "batch.json").write_text(json.dumps(records))
-    got = read_envelopes(spark, str(tmp_path), array_files=True).orderBy("arrival").collect()
+    got = read_envelopes(spark, str(tmp_path), array_files=True).orderBy("symbol").collect()
     assert [(r["symbol"], r["source"], r["record_date"]) for r in got] == [("A", "yahoo_finance", None), ("B", "s", date(2024, 1, 2))]
     assert [r["load_timestamp"].hour for r in got] == [5, 3]
+
+
+def test_keys_alike_at_their_start_stay_apart(spark):
+    """Two symbols and two holders that differ only after the old column widths."""
+    day = date(2024, 1, 2)
+    quote = {"open": 1, "high": 1, "low": 1, "close": 1, "volume": 1}
+    prices = landing.price_rows(
+        envelopes(spark, ("daily_prices", "x" * 20 + "1", day, quote), ("daily_prices", "x" * 20 + "2", day, quote)), BATCH
+    )
+    assert len({r["symbol"] for r in rows(prices)}) == 2
+    holders = landing.holder_rows(
+        envelopes(
+            spark,
+            ("holders", "a", day, {"holder": "y" * 2000 + "1", "holder_type": "k" * 30 + "1"}),
+            ("holders", "a", day, {"holder": "y" * 2000 + "2", "holder_type": "k" * 30 + "2"}),
+        ),
+        BATCH,
+    )
+    assert len({r["holder_name"] for r in rows(holders)}) == len({r["holder_type"] for r in rows(holders)}) == 2
+
+
+def test_second_source_tolerates_its_data(spark):
+    """Bad text is null, two spellings of a day are one period, an unnamed date column is found."""
+    wide = spark.createDataFrame(
+        [("a", "Total Assets", "5", "7"), ("a", "Total Debt", "n/a", None)], "symbol string, metric string, `2024-03-31` string, `2024-3-31` string"
+    )
+    periods = second_source.statement_periods(wide, "metric", ["2024-03-31", "2024-3-31"])
+    assert [tuple(r) for r in periods.collect()] == [("a", date(2024, 3, 31), Decimal(7), None)]
+    info = spark.createDataFrame([("a", "n/a", 9007199254740993)], "symbol string, totalDebt string, sharesOutstanding bigint")
+    record = second_source.fundamentals_fallback(info, periods).select("payload").first()["payload"].toPython()
+    assert record["sharesOutstanding"] == {"raw": 9007199254740993} and record["totalDebt"] is None
+    assert [s["totalAssets"] for s in record["balanceSheetStatements"]] == [{"raw": 7}]
+    profile = spark.createDataFrame([("a", "n/a", "Bank")], "symbol string, fullTimeEmployees string, longName string")
+    assert second_source.profile_fallback(profile).count() == 1
+    grades = spark.createDataFrame([("a", date(2024, 1, 5), "F")], "symbol string, unnamed date, Firm string")
+    assert second_source.ratings_fallback(grades).first()["record_date"] == date(2024, 1, 5)
+
+
+def test_later_load_wins_over_a_higher_number(spark, tmp_path):
+    """Numbers count inside a load: the newer load's record wins though its number is smaller."""
+    for name, hour, seq in (("load-0", 1, 80), ("load-1", 2, 20)):
+        part = envelopes(spark, ("ratings", "a", date(2024, 1, 2), {"firm": name})).drop("arrival", "seq").withColumn("source", F.lit("t"))
+        part = part.withColumn("seq", F.lit(seq).cast("bigint")).withColumn("load_timestamp", F.lit(datetime(2024, 1, 1, hour)))
+        write_envelopes(part, str(tmp_path), name)
+    read = read_envelopes(spark, f"{tmp_path}/*")
+    assert read.orderBy(F.desc("arrival")).first()["payload"].toPython() == {"firm": "load-1"}

@@ -106,7 +106,7 @@ def test_batch_numbers(spark):
         batch_numbers(df, "symbol", 0)
 
 
-def test_universe_cuts_before_the_industry_filter(spark):
+def test_universe_cuts_before_the_industry_filter_only_if_asked(spark):
     quotes = [
         ("A", "us", "Financial Services", "NMS", "Banks - Regional", 5),
         ("B", "us", "Financial Services", "NYQ", "Insurance", 9),
@@ -119,4 +119,4 @@ def test_universe_cuts_before_the_industry_filter(spark):
     df = frame(spark, quotes, "symbol string, region string, sector string, exchange string, industry string, cap int")
     got = ranked_universe(df, screen(), industry_match(), "cap", "symbol", limit=5, screen_size=4)
     assert [r["symbol"] for r in got.collect()] == ["C"]
-    assert [r["symbol"] for r in ranked_universe(df, screen(), industry_match(), "cap", "symbol", 1).collect()] == ["C"]
+    assert [r["symbol"] for r in ranked_universe(df, screen(), industry_match(), "cap", "symbol", 2).collect()] == ["C", "A"]

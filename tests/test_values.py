@@ -94,7 +94,7 @@ def test_blank_and_falsy(spark, member, blank, falsy):
 
 def test_symbol_normalisation(spark):
     assert one(spark, scalars.normalise_symbol("t"), t=" jpm \t\n") == "JPM"
-    assert one(spark, scalars.normalise_symbol("t"), t="x" * 25) == "X" * 20
+    assert one(spark, scalars.normalise_symbol("t"), t="x" * 25) == "X" * 25
     assert one(spark, scalars.normalise_symbol("t"), t=None) is None
     assert one(spark, scalars.symbols_from_text("t"), t=" b, a,,A ,b") == ["A", "B"]
 
