@@ -149,8 +149,8 @@ def _ones(filters: np.ndarray) -> np.ndarray:
 def _likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Best match in the other chain of the shorter one's filters, weighed by their set bits, 0 to 1.
 
-    Shared bits count from what two filters of as many set bits share by chance
-    (0) to all bits of the emptier one (1).  Two empty digests are alike.
+    Shared bits count from what two filters of as many set bits may share by chance, two
+    deviations above its mean (0), to all bits of the emptier one (1).  Two empty digests are alike.
     """
     if not len(a) or not len(b):
         return 1.0 if len(a) == len(b) else 0.0
@@ -164,7 +164,8 @@ def _likeness(a: np.ndarray, b: np.ndarray) -> float:
         shared = _ones(filter_ & b)
         chance = ones * set_b / _BITS
         most = np.minimum(ones, set_b)
-        best.append(((shared - chance) / np.maximum(most - chance, 1e-9)).max())
+        chance = chance + 2 * np.sqrt(chance)
+        best.append(np.where(most > chance, (shared - chance) / np.maximum(most - chance, 1e-9), 0.0).max())
     return min(1.0, max(0.0, float((set_a * np.array(best)).sum() / set_a.sum())))
 
 
