@@ -20,8 +20,7 @@ def replace_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
     The result has the batch's columns (A12): columns only the batch has are
     null on old rows, columns it no longer has are dropped.
     """
-    batch_keys = batch.select(*keys).distinct()
-    kept = target.join(batch_keys, list(keys), "left_anti")
+    kept = target.join(batch.select(*keys), list(keys), "left_anti")
     return sync_columns(kept, batch).unionByName(batch)
 
 

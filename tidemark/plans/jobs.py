@@ -13,6 +13,7 @@ from datetime import date, datetime
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions.scalars import normalise_symbol
 from tidemark.operators import quality as q
 from tidemark.operators.fallback import hollow_primary, merge_sources
 from tidemark.operators.filters import accepted, require_constraints
@@ -42,8 +43,8 @@ from tidemark.registry import (
     VERSION_ORDER,
     TableSpec,
 )
-from tidemark.session import scratch_path
-from tidemark.sources.envelopes import read_envelopes
+from tidemark.session import delete_scratch, scratch_path
+from tidemark.sources.envelopes import ENVELOPE_SCHEMA, read_envelopes, with_arrival
 from tidemark.sources.lake import GENERATION, Lake, months_of, newer_than, only_months
 from tidemark.sources.watermark import WatermarkStore
 
@@ -60,15 +61,16 @@ class Window:
 # Envelopes to landing -----------------------------------------------------
 
 
-def split_by_dataset(spark: SparkSession, envelopes: DataFrame) -> DataFrame:
+def split_by_dataset(spark: SparkSession, envelopes: DataFrame) -> tuple[DataFrame, str]:
     """Parse a batch once and store it by dataset, so that each mapper reads
-    only its own part and a lost executor never re-reads the text files."""
+    only its own part and a lost executor never re-reads the text files.  The
+    folder of the copy is the caller's to delete."""
     path = scratch_path(spark, "batch")
     part = F.when(F.col("dataset").isin(*DATASETS), F.col("dataset")).otherwise(F.lit(_OTHER))
     tagged = envelopes.withColumn("part", part).withColumnRenamed("dataset", "raw_dataset")
     tagged.write.partitionBy("part").parquet(path)
     stored = spark.read.schema(tagged.schema).parquet(path)
-    return stored.withColumn("dataset", F.when(F.col("part") != _OTHER, F.col("part")).otherwise(F.col("raw_dataset")))
+    return stored.withColumn("dataset", F.when(F.col("part") != _OTHER, F.col("part")).otherwise(F.col("raw_dataset"))), path
 
 
 def upsert_landing(lake: Lake, spec: TableSpec, rows: DataFrame) -> None:
@@ -88,7 +90,7 @@ def ingest_batch(lake: Lake, envelopes: DataFrame, batch: Batch) -> dict[str, Da
     A constraint violation in any table refuses the whole batch before the
     first write.
     """
-    stored = split_by_dataset(lake.spark, envelopes)
+    stored, scratch = split_by_dataset(lake.spark, envelopes)
     present = {row[0] for row in stored.select("part").distinct().collect()}  # at most one per dataset, plus one
     candidates = {
         name: rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -116,6 +118,7 @@ def ingest_batch(lake: Lake, envelopes: DataFrame, batch: Batch) -> dict[str, Da
     finally:
         for rows in candidates.values():
             rows.unpersist()
+        delete_scratch(lake.spark, scratch)
 
 
 # Landing to staging to curated --------------------------------------------
@@ -319,9 +322,28 @@ def snapshot_dimension(lake: Lake, run_at: datetime) -> int:
 # Two sources into one batch -----------------------------------------------
 
 
-def merge_batches(primary: DataFrame, fallback: DataFrame, enabled: bool = True) -> DataFrame:
+def as_envelopes(records: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
+    """Records of any source as whole envelopes: normalised symbols, every
+    envelope column, arrival.  ``loaded_at`` fills a missing load instant; the
+    position inside a document stays in the arrival order."""
+    types = {f.name: f.dataType for f in ENVELOPE_SCHEMA}
+    absent = {n: F.lit(None).cast(t) for n, t in types.items() if n not in records.columns}
+    whole = records.withColumns({**absent, "symbol": normalise_symbol("symbol")})
+    if loaded_at is not None:
+        whole = whole.withColumn("load_timestamp", F.coalesce("load_timestamp", F.lit(loaded_at)))
+    return (whole if "arrival" in whole.columns else with_arrival(whole)).drop("_position")
+
+
+def merge_batches(
+    primary: DataFrame, fallback: DataFrame, enabled: bool = True, loaded_at: datetime | None = None
+) -> DataFrame:
     """Per dataset and symbol the first source, or the second where the
-    first has no answer.  Prices come from the first source only."""
+    first has no answer.  Prices come from the first source only.
+
+    Both sides may be records of this library's mappers; the result can be written
+    and ingested.  Symbols are normalised before they are compared.
+    """
+    primary, fallback = as_envelopes(primary, loaded_at), as_envelopes(fallback, loaded_at)
     prices = F.col("dataset") == "daily_prices"
     merged = merge_sources(
         primary.where(~prices),

@@ -68,6 +68,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_directory(spark)}/tidemark/{label}-{uuid4().hex}"
 
 
+def delete_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by :func:`scratch_path`."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def ship_package(spark: SparkSession) -> SparkSession:
     """Let Python workers on every machine import this package, once per context."""
     context = spark.sparkContext
