@@ -59,23 +59,22 @@ def jdbc_scan(
     url: str,
     table: str,
     *,
-    partition_column: str | None = None,
-    bounds: tuple[str, str] | None = None,
-    partitions: int = 1,
+    partition_column: str,
+    bounds: tuple[str, str],
+    partitions: int,
     **options: str,
 ) -> DataFrame:
     """A3 against a relational landing database.  Filters and columns are
-    pushed to the database; give a partition column and its bounds to read in
-    parallel."""
+    pushed to the database; the partition column and its bounds let many tasks
+    read, as one task could not read a large table."""
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)
-    if partition_column and bounds:
-        reader = (
-            reader.option("partitionColumn", partition_column)
-            .option("lowerBound", bounds[0])
-            .option("upperBound", bounds[1])
-            .option("numPartitions", partitions)
-        )
-    return reader.load()
+    return (
+        reader.option("partitionColumn", partition_column)
+        .option("lowerBound", bounds[0])
+        .option("upperBound", bounds[1])
+        .option("numPartitions", partitions)
+        .load()
+    )
 
 
 @dataclass
