@@ -228,6 +228,45 @@ def p1_ingest_stream(spark, sf_dir):
     return lake.landing(RATINGS).select(*_LANDED_COLUMNS)
 
 
+_TWO_LOADS = _LANDED.replace("ORDER BY event_id DESC", "ORDER BY event_id % 2 DESC, event_id DESC")
+
+
+def _two_loads(spark, sf_dir) -> str:
+    """Even events as an older load, odd ones as a newer one; both are numbered from 1 and share keys."""
+    root = scratch_path(spark, "two-loads")
+    event = F.col("seq")
+    for number in range(2):
+        load = docs.rating_envelopes(spark, sf_dir).where(event % 2 == number)
+        at = F.lit(datetime(2024, 2, 1, number + 1, tzinfo=timezone.utc))
+        write_envelopes(
+            load.withColumn("load_timestamp", at).withColumn("seq", F.floor(event / 2) + 1), root, f"load-{number}"
+        )
+    return f"{root}/*"
+
+
+@trial("p1_ingest_two_loads", _TWO_LOADS)
+def p1_ingest_two_loads(spark, sf_dir):
+    """Two loads in one batch: the newer load's record of a key wins, whatever its number."""
+    lake = new_lake(spark, "two-loads")
+    jobs.ingest_batch(lake, read_envelopes(spark, _two_loads(spark, sf_dir)), BATCH)
+    return lake.landing(RATINGS).select(*_LANDED_COLUMNS)
+
+
+@trial("p1_ingest_two_loads_stream", _TWO_LOADS)
+def p1_ingest_two_loads_stream(spark, sf_dir):
+    """The same loads in one micro-batch."""
+    lake = new_lake(spark, "two-loads-stream")
+    ingest_stream(
+        lake,
+        _two_loads(spark, sf_dir),
+        scratch_path(spark, "stream-state"),
+        source_system="stream",
+        snapshot_date=date(2024, 2, 1),
+        ingested_at=lambda n: datetime(2024, 2, 1, 7, n, tzinfo=timezone.utc),
+    ).awaitTermination()
+    return lake.landing(RATINGS).select(*_LANDED_COLUMNS)
+
+
 @trial("j3_incremental_sync", rendered(_RATING_COLUMNS, _NEWEST_RATINGS, st.EVENT_RATINGS_SQL))
 def j3_incremental_sync(spark, sf_dir):
     """Landing filled and synced twice; the second pull starts after the first's newest row."""

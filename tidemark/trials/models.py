@@ -161,7 +161,10 @@ def e6_newest_overall(spark, sf_dir):
     return metrics.newest_overall(list(st.market(spark, sf_dir).values()))
 
 
-_COUNTED = ("customer", "events", "lineitem", "orders", "part", "supplier", "documents", "pages")
+_COUNTED = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 _COUNTS = " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in _COUNTED)
 
 
