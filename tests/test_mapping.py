@@ -5,12 +5,14 @@ from __future__ import annotations
 import json
 from datetime import date, datetime, timezone
 from decimal import Decimal
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.filters import REASON, accepted
-from tidemark.plans import landing, payloads, second_source
+from tidemark.plans import jobs, landing, payloads, second_source
+from tidemark.registry import BASIC_INFO, DAILY_PRICE, FUNDAMENTALS, HOLDERS, RATINGS
 from tidemark.sources.envelopes import read_envelopes, with_arrival, write_envelopes
 
 AT = datetime(2024, 2, 1, 7, tzinfo=timezone.utc)
@@ -225,3 +227,51 @@ def test_later_load_wins_over_a_higher_number(spark, tmp_path):
         write_envelopes(part, str(tmp_path), name)
     read = read_envelopes(spark, f"{tmp_path}/*")
     assert read.orderBy(F.desc("arrival")).first()["payload"].toPython() == {"firm": "load-1"}
+
+
+def test_two_sources_make_one_batch(spark, tmp_path, lake):
+    """P8 over all datasets with the library's own records on both sides: merge, write, read, ingest."""
+    day, at = date(2024, 1, 2), datetime(2024, 1, 1, 5)
+    summary = {
+        "quoteSummary": {"result": [{
+            "assetProfile": {"longName": "Bank A", "industry": "Banks", "sector": "F"},
+            "financialData": {"totalAssets": {"raw": 9}},
+            "institutionOwnership": {"ownershipList": [{"organization": "O1", "position": {"raw": 3}, "reportDate": {"raw": 1704067200}}, {"organization": "O2", "position": {"raw": 4}, "reportDate": {"raw": 1704067200}}]},
+            "upgradeDowngradeHistory": {"history": [{"firm": "F1", "toGrade": "Buy", "epochGradeDate": 1704067200}]},
+        }]}
+    }
+    chart = {"chart": {"result": [{"timestamp": [1704153600], "indicators": {"quote": [{"open": [1], "high": [2], "low": [1], "close": [2], "volume": [7]}]}}]}}
+    empty = {"quoteSummary": {"result": [{}]}}
+
+    def documents(*rows):
+        df = spark.createDataFrame([(s, json.dumps(d), n) for n, (s, d) in enumerate(rows)], "symbol string, text string, seq bigint")
+        return df.withColumn("payload", F.parse_json("text")).drop("text")
+
+    answers, charts = documents((" a ", summary), ("B", empty)), documents(("A", chart))
+    primary = [
+        payloads.profile_records(answers), payloads.statement_records(answers), payloads.ownership_records(answers),
+        payloads.grade_records(answers), payloads.price_records(charts, day, day),
+    ]
+    info = spark.createDataFrame([("a", "Other", 5, 1), ("b", "Bank B", 6, 2)], "symbol string, longName string, totalAssets bigint, seq bigint")
+    wide = spark.createDataFrame([("b", "Total Assets", 8.0)], "symbol string, metric string, `2023-12-31` double")
+    held = spark.createDataFrame([("b", "H", 5, day, 1), ("A", "X", 5, day, 2)], "symbol string, Holder string, Shares bigint, Date date, seq bigint")
+    graded = spark.createDataFrame([("c", "G", day, 1), ("a", "G", day, 2)], "symbol string, Firm string, Date date, seq bigint")
+    fallback = [
+        second_source.profile_fallback(info),
+        second_source.fundamentals_fallback(info, second_source.statement_periods(wide, "metric", ["2023-12-31"])),
+        second_source.holders_fallback(held, "institution"), second_source.ratings_fallback(graded),
+    ]
+    union = lambda parts: reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    merged = jobs.merge_batches(union(primary), union(fallback), loaded_at=at)
+    path = write_envelopes(merged, str(tmp_path), "both")
+    jobs.ingest_batch(lake, read_envelopes(spark, path), BATCH)
+    tables = {name: {(r.symbol, *extra(r)) for r in lake.landing(spec).collect()} for name, (spec, extra) in {
+        "basics": (BASIC_INFO, lambda r: (r.company_name,)), "fundamentals": (FUNDAMENTALS, lambda r: (r.total_assets,)),
+        "holders": (HOLDERS, lambda r: (r.holder_name,)), "ratings": (RATINGS, lambda r: (r.firm_name,)),
+        "prices": (DAILY_PRICE, lambda r: (r.volume,)),
+    }.items()}
+    assert tables["basics"] == {("A", "Bank A"), ("B", "Bank B")}
+    assert tables["fundamentals"] == {("A", 9), ("B", 8)}
+    assert ("A", "O1") in tables["holders"] and ("A", "O2") in tables["holders"] and ("A", "X") not in tables["holders"]
+    assert tables["ratings"] == {("A", "F1"), ("C", "G")}
+    assert tables["prices"] == {("A", 7)}
