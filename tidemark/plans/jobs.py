@@ -136,15 +136,21 @@ def detect_new(lake: Lake, state: WatermarkStore, job: str) -> Plan:
     )
 
 
-def refresh_curated(lake: Lake, spec: TableSpec, months: Sequence[int]) -> None:
+def refresh_curated(lake: Lake, spec: TableSpec, months: Sequence[int], increment: DataFrame | None = None) -> None:
     """Newest version per key, for the months that changed.
 
     The key contains the date, so a key never leaves its month and untouched
-    months are already right.
+    months are already right.  The order of versions is total, so with the rows
+    just staged as ``increment`` the newest of curated and increment is the newest
+    of all versions, and the cost doesn't grow with the versions staged before.
     """
     if not months:
         return
-    versions = only_months(lake.staging(spec), list(months)).select(*spec.columns)
+    if increment is None:
+        versions = only_months(lake.staging(spec), list(months)).select(*spec.columns)
+    else:
+        current = only_months(lake.curated(spec), list(months)).select(*spec.columns)
+        versions = current.unionByName(models.staging_rows(increment, spec).select(*spec.columns))
     newest = latest_by_key(versions, spec.key, VERSION_ORDER)
     lake.overwrite_months("curated", spec.curated_name, newest, spec.date_column, spec.sort_columns)
 
@@ -161,8 +167,9 @@ def sync_increment(lake: Lake, start_after: datetime) -> dict[str, list[int]]:
     """Pull rows after the watermark, append them, rebuild what they touch."""
     touched = {}
     for name, spec in TABLES.items():
-        touched[name] = stage_increment(lake, spec, newer_than(lake.landing(spec), start_after))
-        refresh_curated(lake, spec, touched[name])
+        increment = newer_than(lake.landing(spec), start_after)
+        touched[name] = stage_increment(lake, spec, increment)
+        refresh_curated(lake, spec, touched[name], increment)
     return touched
 
 
