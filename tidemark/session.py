@@ -41,6 +41,17 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Start shuffles with as many partitions as the input calls for; adaptive execution coalesces small ones.
+
+    Adaptive execution can't split the partitions of an aggregation or a window, so on
+    a large input the default number would make each of them too large for a task.
+    """
+    wanted = max(200, -(-input_bytes // partition_bytes))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return wanted
+
+
 def shared_directory(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
