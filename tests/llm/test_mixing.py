@@ -61,3 +61,12 @@ def test_expectation_is_kept():
     for u in (0.0, 0.5, 0.999):
         p, q = mixing._pair(30, 0.4, 10, 0.7, u)
         assert abs(30 * p + 10 * q - 19) < 1e-9 and (p in (0, 1) or q in (0, 1))
+
+
+def test_reruns_agree_on_any_split(spark, tmp_path):
+    docs = frame(spark, None, tmp_path)
+    docs.repartition(7).write.parquet(f"{tmp_path}/other")
+    other = spark.read.parquet(f"{tmp_path}/other")
+    drop = lambda df: sorted(str(tuple(r)) for r in df.drop("row").collect())
+    options = {"node_rows": 5, "fan_in": 2}
+    assert drop(mixing.mix(docs, **options)) == drop(mixing.mix(other, **options))

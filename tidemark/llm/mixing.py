@@ -18,7 +18,7 @@ from tidemark.llm.text import fresh_name
 from tidemark.session import ensure_checkpoint_dir
 
 _WORD = r"[^\x20\x09-\x0D]+"
-_OPEN = "row long, doc_id long, source string, size long, source_size long, target double, base long, p double, open boolean, node long"
+_OPEN = "row long, content long, doc_id long, source string, size long, source_size long, target double, base long, p double, open boolean, node long"
 
 
 def word_count(text: str):
@@ -103,7 +103,7 @@ def _settle(rows: DataFrame, seed: int, level: int) -> DataFrame:
             yield pa.RecordBatch.from_pylist([held], schema=batch.schema)
 
     order = F.xxhash64(F.col("doc_id"), F.lit(seed + level))
-    placed = rows.repartition("node", "source").sortWithinPartitions("node", "source", order, "doc_id", "size", "row")
+    placed = rows.repartition("node", "source").sortWithinPartitions("node", "source", order, "doc_id", "size", "content", "row")
     return placed.mapInArrow(run, _OPEN)
 
 
@@ -118,12 +118,14 @@ def mix(
     that one keeps a fraction, so a source's words meet its target.  Null and
     empty texts have no words and are no source's weight; null sources are one
     source, the last; repeated rows are rounded one by one; an empty table gives
-    no rows.  Nodes are drawn by a hash of the id and of the row's number, so
-    reruns agree and neither a hot source nor a hot id fills a node.
+    no rows.  Nodes, order and draws follow from ids and texts alone, so reruns
+    agree however the table is split into tasks; a hot source is spread over all
+    nodes.  A node's rows pass one by one, whatever their number.
     """
     ensure_checkpoint_dir(docs.sparkSession)
     sized = docs.select(
         F.monotonically_increasing_id().alias("row"),
+        F.xxhash64(text_column).alias("content"),
         F.col(id_column).cast("long").alias("doc_id"),
         F.col(source_column).cast("string").alias("source"),
         word_count(text_column).alias("size"),
@@ -132,11 +134,11 @@ def mix(
     nodes = max(1, -(-sized.count() // node_rows))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = sized.join(targets, sized.source.eqNullSafe(targets.source)).select(
-        "row", "doc_id", sized.source, "size", "source_size", "target",
+        "row", "content", "doc_id", sized.source, "size", "source_size", "target",
         F.floor(ratio).alias("base"),
         (ratio - F.floor(ratio)).alias("p"),
         F.lit(True).alias("open"),
-        F.pmod(F.xxhash64("doc_id", "row"), F.lit(nodes)).alias("node"),
+        F.pmod(F.xxhash64("doc_id", "content"), F.lit(nodes)).alias("node"),
     )
     done, level = None, 0
     while True:
@@ -165,7 +167,7 @@ def mixed_documents(docs: DataFrame, seed: int = 7, **options) -> DataFrame:
     """
     mixed = mix(docs, seed=seed, **options)
     part = F.col("copies") - F.floor("copies")
-    unit = F.pmod(F.xxhash64("doc_id", "row", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    unit = F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     times = (F.floor("copies") + (unit < part).cast("long")).cast("int")
     key, count = fresh_name(docs, "_row"), fresh_name(docs, "_times")
     taken = mixed.select(F.col("row").alias(key), times.alias(count)).where(F.col(count) > 0)
