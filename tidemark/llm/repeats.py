@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.text import Rolling, hashes_of, mixed, sliding, words_of
+from tidemark.llm.text import Rolling, mixed, sliding, word_hashes, words_of
 
 _SEED = 8
 #: One of so many seeds starts a block, so a block holds about 60 words besides its window.
@@ -28,8 +28,7 @@ _BLOCK_EVERY = 4
 class Parse:
     """Seeds and blocks of one text's word hashes."""
 
-    def __init__(self, words: list[bytes], window: int):
-        h = hashes_of(words)
+    def __init__(self, h: np.ndarray, window: int):
         n = len(h)
         self.window, self.n_windows = window, n - window + 1
         size = min(_SEED, window)
@@ -73,10 +72,10 @@ def _index_rows(window: int):
             for part in _groups(batch):
                 columns = [[], [], [], [], []]
                 for row, text in zip(part.column("row").to_pylist(), part.column("text").to_pylist()):
-                    words = words_of(text)
-                    if len(words) < window:
+                    hashes = word_hashes(text)
+                    if len(hashes) < window:
                         continue
-                    parse = Parse(words, window)
+                    parse = Parse(hashes, window)
                     # The same seed twice in a text is one row that says so.
                     seeds, at, times = np.unique(parse.seed_hash, return_index=True, return_counts=True)
                     k1, k2 = parse.keys(parse.starts, parse.ends)
@@ -106,7 +105,7 @@ def _window_rows(window: int):
                 rows = (part.column(c).to_pylist() for c in ("row", "text"))
                 hits = zip(part.column("seed_keys"), part.column("blocks"), part.column("references"))
                 for row, text, (known_seeds, blocks, references) in zip(*rows, hits):
-                    parse = Parse(words_of(text), window)
+                    parse = Parse(word_hashes(text), window)
                     # Equal windows have the same smallest gram, and it is a seed of either text.
                     runs = np.flatnonzero(np.concatenate([[True], parse.least[1:] != parse.least[:-1]]))
                     known = np.isin(parse.least[runs], known_seeds.values.to_numpy().view(np.uint64))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 
 #: Mixed odd multipliers of the rolling hashes.
@@ -20,27 +19,6 @@ def fresh_name(docs: DataFrame, base: str) -> str:
     return base
 
 
-class WordHashes(dict):
-    """Word to 64-bit hash; emptied when full, so a worker's memory stays bounded."""
-
-    def __init__(self, limit: int = 400_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_HASHES = WordHashes()
-
-
-def hashes_of(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), dtype=_U64, count=len(words))
-
-
 _IN_WORD = np.ones(256, dtype=bool)
 _IN_WORD[[0x20, *range(0x09, 0x0E)]] = False
 
@@ -100,10 +78,11 @@ class Rolling:
         return mixed((self.sums[ends] - self.sums[starts]) * self.down[starts])
 
     def windows(self, size: int) -> np.ndarray:
+        """Hashes of all runs of ``size`` items; their high bits are the even ones."""
         n = len(self.sums) - size
         if n <= 0:
             return np.zeros(0, dtype=_U64)
-        return mixed((self.sums[size:] - self.sums[:n]) * self.down[:n])
+        return (self.sums[size:] - self.sums[:n]) * self.down[:n]
 
 
 def sliding(values: np.ndarray, size: int, pick) -> np.ndarray:
