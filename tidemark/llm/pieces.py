@@ -10,37 +10,48 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
+from itertools import islice
 
 #: A space after anything but white space or the space mark of piece vocabularies (U+2581).
 _CUT = re.compile("(?<=[^\\s▁]) ")
-#: Texts without this can be cut at every space.
-_UNUSUAL = re.compile("[\\s▁] |^ ")
+#: What may stand before a space that is no cut: every white space character, and the mark.
+_BEFORE = tuple(chr(c) + " " for c in (*range(0x3001), 0x2581) if chr(c).isspace() or c == 0x2581)
+_BEFORE_ASCII = tuple(pair for pair in _BEFORE if pair.isascii())
+
+
+def cut_at_every_space(text: str) -> bool:
+    """Whether all spaces of a text are such spaces."""
+    pairs = _BEFORE_ASCII if text.isascii() else _BEFORE
+    return text[:1] != " " and not any(map(text.__contains__, pairs))
 
 
 def segments(text: str) -> list[str]:
     """Cut at each such space; the space itself is dropped and stands before every segment but the first."""
-    if _UNUSUAL.search(text):
-        return _CUT.split(text)
-    return text.split(" ")
+    return text.split(" ") if cut_at_every_space(text) else _CUT.split(text)
 
 
 class Tier(dict):
     """Segment to what it gives: a fixed frequent tier, and a bounded cache of the rest.
 
-    ``encode`` is called with all missing segments of a batch at once.
+    ``encode`` is called with all missing segments of a group of texts at once.  A full
+    cache keeps its older half, where the common segments are.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable], frequent: dict | None = None, limit: int = 300_000):
+    def __init__(self, encode: Callable[[list[str]], Iterable], frequent: dict | None = None, limit: int = 400_000):
         super().__init__(frequent or {})
-        self.encode, self.frequent, self.limit = encode, frequent or {}, limit
+        self.encode, self.kept, self.limit = encode, len(self) + limit // 2, len(self) + limit
+
+    def make_room(self, n: int) -> None:
+        """Forget the newer half of a cache that ``n`` more entries would overfill."""
+        if len(self) + n > self.limit and len(self) > self.kept:
+            for segment in list(islice(self, self.kept, None)):
+                del self[segment]
 
-    def learn(self, segments_: Iterable[str]) -> None:
-        missing = list({s for s in segments_ if s not in self})
+    def learn(self, wanted: set[str]) -> None:
+        """Have an entry for every wanted segment."""
+        missing = wanted.difference(self)
         if not missing:
             return
-        if len(self) - len(self.frequent) > self.limit:
-            kept = dict(self.frequent)
-            self.clear()
-            self.update(kept)
-            missing = list({s for s in segments_ if s not in self})
+        self.make_room(len(missing))
+        missing = list(wanted.difference(self))
         self.update(zip(missing, self.encode(missing)))

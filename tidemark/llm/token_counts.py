@@ -78,7 +78,7 @@ def token_count(text: Column | str, model_path: str, frequent: list[str]) -> Col
             out, cut, chars = [], [], 0
 
             def flush() -> None:
-                tier.learn([s for parts in cut for s in parts])
+                tier.learn(set().union(*cut))
                 out.extend(sum(map(tier.__getitem__, parts)) for parts in cut)
                 cut.clear()
 

@@ -8,45 +8,140 @@ start in the whole, whichever task reads its stripe.
 
 from __future__ import annotations
 
+import gc
+import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.pieces import Tier, segments
+from tidemark.llm.pieces import Tier, cut_at_every_space, segments
 
-_GROUP_CHARS = 2_000_000
+_GROUP_CHARS = 4_000_000
+#: The tokenizer's own pattern cuts between letters, these marks and a line break.
+_MARKS = ".,;:!?"
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+_TWO_LINES = re.compile(f"({_LETTERS}+)([{_MARKS}]*)(\n)({_LETTERS}+)([{_MARKS}]*)")
 _COLUMNS = "doc_id long, part int, start_in_part long, n_tokens int, ids array<int>"
 
 
+#: The letter that stands for a byte in the vocabulary: its own where it prints, else the next free one from 256.
+_PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LETTER_OF = {b: b for b in _PRINTS} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTS)}
+
+
+def _byte_letters(text: str) -> str:
+    return text.encode().decode("latin-1").translate(_LETTER_OF)
+
+
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit numbers, as the tokenizers library gives them."""
+    """Ids of texts as the tokenizers library gives them; those of segments are kept as little-endian bytes."""
 
     def __init__(self, path: str):
+        # Spark sets how many cores a machine uses.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.first = Tier(self._encode)
-        self.after = Tier(lambda wanted: self._encode([" " + s for s in wanted]))
+        self.first = Tier(self._encode, limit=50_000)
+        self.after = Tier(self._encode_after, limit=500_000)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Texts that contain an added token's string are left to the library as a whole."""
-        cut = [segments(t) if t and not any(s in t for s in self.special) else None for t in texts]
-        self.first.learn([parts[0] for parts in cut if parts])
-        self.after.learn([s for parts in cut if parts for s in parts[1:]])
-        get = self.after.__getitem__
-        return [
-            self.first[parts[0]] + b"".join(map(get, parts[1:])) if parts else self._encode([t])[0] if t else b""
-            for t, parts in zip(texts, cut)
-        ]
+        return self._packed([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def _encode_after(self, wanted: list[str]) -> list[bytes]:
+        """Letters alone are one pre-token, which the library's model takes as it is; the rest takes the long way."""
+        tokenize = self.tokenizer.model.tokenize
+        words = [s.isalpha() for s in wanted]
+        others = iter(self._encode([" " + s for s, word in zip(wanted, words) if not word]))
+        known = iter(
+            self._packed(
+                [[t.id for t in tokenize(_byte_letters(" " + s))] for s, word in zip(wanted, words) if word]
+            )
+        )
+        return [next(known) if word else next(others) for word in words]
+
+    @staticmethod
+    def _packed(found: list[list[int]]) -> list[bytes]:
+        ends = list(accumulate(map(len, found), initial=0))
+        flat = memoryview(np.fromiter(chain.from_iterable(found), dtype="<u4", count=ends[-1]).tobytes())
+        return [bytes(flat[4 * a : 4 * b]) for a, b in pairwise(ends)]
+
+    def _after(self, wanted: list[str]) -> list[bytes]:
+        """Ids of distinct segments with the space before them; a word is encoded once for all marks around it."""
+        found = list(map(self.after.get, wanted))
+        missing = [s for s, ids in zip(wanted, found) if ids is None]
+        if not missing:
+            return found
+        whole, around, cut = set(), set(), []
+        for segment in missing:
+            word = segment.rstrip(_MARKS)
+            if segment.isalpha():
+                whole.add(segment)
+            elif word.isalpha():
+                cut.append((segment, word, (segment[len(word) :],)))
+            elif m := _TWO_LINES.fullmatch(segment):
+                word, *rest = m.groups("")
+                cut.append((segment, word, tuple(rest)))
+            else:
+                whole.add(segment)
+        whole.update(word for _, word, _ in cut)
+        around.update(x for _, _, rest in cut for x in rest)
+        self.first.learn(around)
+        unknown = [w for w in whole if w not in self.after]
+        fresh = dict(zip(unknown, self.after.encode(unknown)))
+        get = self.first.__getitem__
+        for segment, word, rest in cut:
+            ids = fresh.get(word)
+            fresh[segment] = (self.after[word] if ids is None else ids) + b"".join(map(get, rest))
+        found = [fresh[s] if ids is None else ids for s, ids in zip(wanted, found)]
+        self.after.make_room(len(fresh))
+        self.after.update(fresh)
+        return found
+
+    def _by_segments(self, text: str) -> bytes:
+        """Ids of a text with unusual spaces; one with an added token's string is left to the library as a whole."""
+        if any(s in text for s in self.special):
+            return self._encode([text])[0]
+        head, *rest = segments(text)
+        self.first.learn({head})
+        return self.first[head] + b"".join(self._after(rest))
+
+    def encode(self, texts: list[str | None], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each followed by ``end``, and how many each text has.
+
+        Each distinct segment is looked up once; the ids are then gathered by number.
+        """
+        texts = [t or "" for t in texts]
+        plain = [bool(t) and cut_at_every_space(t) and not any(s in t for s in self.special) for t in texts]
+        # A text that isn't plain is one segment of its own.
+        lists = pc.split_pattern(pa.array([t if p else "" for t, p in zip(texts, plain)], pa.large_string()), " ")
+        numbered = lists.values.dictionary_encode()
+        known = numbered.dictionary.to_pylist()
+        odd = [None if p else self._by_segments(t) if t else b"" for t, p in zip(texts, plain)]
+        heads = [t.split(" ", 1)[0] if p else None for t, p in zip(texts, plain)]
+        self.first.learn({h for h in heads if h is not None})
+        parts = self._after(known)
+        parts += [self.first[h] if h is not None else o for h, o in zip(heads, odd)]
+        parts.append(end)
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+        ids, at = np.frombuffer(b"".join(parts), dtype="<u4"), np.cumsum(sizes) - sizes
+        edges = lists.offsets.to_numpy()
+        number = numbered.indices.to_numpy().copy()
+        number[edges[:-1]] = len(known) + np.arange(len(texts))
+        number = np.insert(number, edges[1:], len(parts) - 1)
+        size = sizes[number]
+        ends = np.cumsum(size)
+        places = np.repeat(at[number] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        last = ends[edges[1:] + np.arange(len(texts))]
+        return ids[places], np.diff(last, prepend=0)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -86,12 +181,12 @@ def write_token_files(
                 while at + len(group) < len(texts) and chars < _GROUP_CHARS:
                     group.append(texts[at + len(group)].as_py())
                     chars += len(group[-1] or "")
-                found = [ids + end for ids in encoder.encode(group)]
-                sizes = np.array([len(x) // 4 for x in found], dtype=np.int64)
+                gc.disable()  # the many small objects of a group hold no cycles
+                ids, sizes = encoder.encode(group, end)
+                gc.enable()
                 ends = np.cumsum(sizes)
                 lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], ends]), pa.int32()),
-                    pa.array(np.frombuffer(b"".join(found), dtype="<i4")),
+                    pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.view("<i4"))
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -116,7 +211,7 @@ def write_token_files(
     ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
     (
         ordered.mapInArrow(encode, _COLUMNS)
-        .write.option("orc.compress", "ZSTD")
+        .write.option("orc.compress", "SNAPPY")
         .option("orc.stripe.size", 16 << 20)
         .option("orc.row.index.stride", 1000)
         .option("orc.bloom.filter.columns", "doc_id")
