@@ -97,3 +97,19 @@ def test_hot_shards_are_searched_in_chunks(spark, tmp_path):
     links = near_copies.candidate_links(prints.select("row", "fingerprint", "bands"), 20, chunk_rows=20)
     pairs = {tuple(r) for r in links.collect()}
     assert len(set(groups(list(range(150)), lambda a, b: (a, b) in pairs or (b, a) in pairs))) == 1
+
+
+def documents(texts):
+    return [(i, t, None, None, 0, 0, "", "", 0, 0) for i, t in enumerate(texts)]
+
+
+def test_repeated_lines_do_not_hide_near_copies(spark, tmp_path):
+    rng = random.Random(8)
+    body = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    lines = [" ".join(f"l{rng.randrange(10**6)}" for _ in range(10)) for _ in range(2)]
+    texts = [" ".join([*body, *[mark] * 50]) for mark in "-*"]
+    docs = frame(spark, documents(texts), tmp_path / "marks")
+    assert [r.doc_id for r in near_copies.without_near_copies(docs).collect()] == [0]
+    texts = [" ".join([*body, *[line] * 20]) for line in lines]
+    docs = frame(spark, documents(texts), tmp_path / "lines")
+    assert [r.doc_id for r in near_copies.without_near_copies(docs).collect()] == [0]

@@ -41,12 +41,12 @@ def _described(size: int):
                 words = _lowered(text.as_py())
                 n = np.array([len(words)])
                 content.append([int(Rolling(words, lane).runs(n * 0, n)[0].view(np.int64)) if len(words) else 0 for lane in (0, 1)])
-                own = shingles(words, size)
+                # A repeated line counts once, as it does in the similarity and the bands.
+                own = np.unique(shingles(words, size))
                 prints.append(_signed(majority(own)))
                 if not len(own):
                     bands.append([])
                     continue
-                own = np.unique(own)
                 # High bits of a product are its even ones.
                 least = np.array([(own * m).min() for m in _MULTIPLY])
                 folded = mixed(least.reshape(BANDS, ROWS) * _MULTIPLY[:ROWS]).sum(axis=1, dtype=np.uint64)
