@@ -113,3 +113,33 @@ def test_repeated_lines_do_not_hide_near_copies(spark, tmp_path):
     texts = [" ".join([*body, *[line] * 20]) for line in lines]
     docs = frame(spark, documents(texts), tmp_path / "lines")
     assert [r.doc_id for r in near_copies.without_near_copies(docs).collect()] == [0]
+
+
+def sets_alike(a, b):
+    """Five-word shingles 0.8 alike, by brute force."""
+    a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.split(), b.split()))
+    return len(a & b) >= 0.8 * len(a | b)
+
+
+def star(rng, copies, words=300, edits=5):
+    """An original in the middle of copies that are like it but not like each other."""
+    base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+    texts = []
+    for i in range(copies):
+        w = list(base)
+        # Edits that share no shingle.
+        for k in range(edits):
+            w[5 + words // edits * k + rng.randrange(words // edits - 10)] = f"n{i}-{k}"
+        texts.append(" ".join(w))
+    return [*texts[: copies // 2], " ".join(base), *texts[copies // 2 :]]
+
+
+def test_star_group_leaves_one(spark, tmp_path):
+    rng = random.Random(11)
+    texts = star(rng, 60) + star(rng, 20) + [" ".join(f"u{rng.randrange(10**6)}" for _ in range(100)) for _ in range(5)]
+    rng.shuffle(texts)
+    of = groups(texts, sets_alike)
+    assert len(set(of)) == 7
+    assert len(set(groups(texts, lambda a, b: sets_alike(a, b) and "-" in a and "-" in b))) > 7  # only the originals join them
+    kept = near_copies.without_near_copies(frame(spark, documents(texts), tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(of))

@@ -9,10 +9,9 @@ radius, and each link is verified on the shingles of both texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -65,12 +64,20 @@ def _described(size: int):
     return run, "row long, content1 long, content2 long, fingerprint long, bands array<long>"
 
 
-def _tree_links(rows: list[tuple[int, int]], radius: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Links among the (row, fingerprint) of a shard, and one row of each group they make.
+def _alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets of shingles, sorted, are so alike."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)):
+        return False
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared >= similarity * (len(a) + len(b) - shared)
 
-    A row is linked to the first row of its group if that is within the radius, else to its nearest.
+
+def _tree_links(rows: list[tuple[int, int]], radius: int, alike: Callable[[int, int], bool]) -> list[tuple[int, int]]:
+    """Links that connect the (row, fingerprint) of a shard exactly as all pairs within the radius that are ``alike``.
+
+    A row meets every row before it within the radius, until a link that holds joins their groups.
     """
-    tree, members, parent, links, heads = BKTree(), [], [], [], []
+    parent = list(range(len(rows)))
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -78,113 +85,82 @@ def _tree_links(rows: list[tuple[int, int]], radius: int) -> tuple[list[tuple[in
             i = parent[i]
         return i
 
-    place = [tree.add(p & _ALL) for _, p in rows]
-    for i, at in enumerate(place):
-        while len(members) <= at:
-            members.append([])
-        members[at].append(i)
-    parent.extend(range(len(rows)))
-    for i, (row, print_) in enumerate(rows):
-        near = [j for at in tree.within(print_ & _ALL, radius) for j in members[at] if j < i]
-        if not near:
-            continue
-        to = min(root(j) for j in near)
-        apart = lambda j: ((rows[j][1] ^ print_) & _ALL).bit_count()
-        nearest = min(near, key=lambda j: (apart(j), j))
-        links.append((rows[to if apart(to) <= radius else nearest][0], row))
-        for j in near:
-            a, b = root(j), root(i)
-            if a != b:
+    # The text most others were made from is met first: it joins them by one check each.
+    middle = majority(np.array([p & _ALL for _, p in rows], dtype=np.uint64))
+    order = sorted(range(len(rows)), key=lambda i: (((rows[i][1] & _ALL) ^ middle).bit_count(), rows[i][0]))
+    tree, members, links = BKTree(), [], []
+    for rank, i in enumerate(order):
+        print_ = rows[i][1] & _ALL
+        for j in sorted(j for at in tree.within(print_, radius) for j in members[at]):
+            a, b = root(j), root(rank)
+            if a != b and alike(order[j], i):
                 parent[max(a, b)] = min(a, b)
-    heads = [rows[i] for i in range(len(rows)) if root(i) == i]
-    return links, heads
+                links.append((rows[order[j]][0], rows[i][0]))
+        at = tree.add(print_)
+        if at == len(members):
+            members.append([])
+        members[at].append(rank)
+    return links
 
 
-def _search(radius: int):
-    """Rows of one (shard, chunk) after another; a link has u and v, a head has v alone."""
+def _search(radius: int, size: int, similarity: float):
+    """Links (u, v) in the rows of one shard after another; without texts, all pairs within the radius are alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, shard = None, [], None
+        key, held, texts = None, [], []
 
         def result() -> pa.RecordBatch:
-            links, heads = _tree_links(held, radius)
-            rows = [(*shard, u, v, None) for u, v in links] + [(*shard, None, v, p) for v, p in heads]
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                names=["band", "bits", "u", "v", "fingerprint"],
-            )
+            sets: dict[int, np.ndarray] = {}
+
+            def own(i: int) -> np.ndarray:
+                if i not in sets:
+                    sets[i] = np.unique(shingles(_lowered(texts[i]), size))
+                return sets[i]
+
+            found = _tree_links(held, radius, lambda i, j: texts[i] is None or _alike(own(i), own(j), similarity))
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["u", "v"])
 
         out = []
-        names = ("band", "bits", "chunk", "row", "fingerprint")
         for batch in batches:
-            for band, bits, chunk, row, print_ in zip(*(batch.column(c).to_pylist() for c in names)):
-                if (band, bits, chunk) != key:
+            for band, bits, row, print_, text in zip(
+                *(batch.column(c).to_pylist() for c in ("band", "bits", "row", "fingerprint", "text"))
+            ):
+                if (band, bits) != key:
                     if held:
                         out.append(result())
-                    key, held, shard = (band, bits, chunk), [], (band, bits)
+                    key, held, texts = (band, bits), [], []
                 held.append((row, print_))
+                texts.append(text)
             if out:
                 yield from pa.Table.from_batches(out).combine_chunks().to_batches()
                 out = []
         if held:
             yield result()
 
-    return run, "band int, bits long, u long, v long, fingerprint long"
+    return run, "u long, v long"
 
 
-def candidate_links(prints: DataFrame, radius: int, chunk_rows: int = 1000, max_rounds: int = 4) -> DataFrame:
-    """Links (u, v) of ``prints(row, fingerprint, bands)`` within the radius in some shard.
+def candidate_links(
+    prints: DataFrame, radius: int, chunk_rows: int = 1000, *, texts: DataFrame | None = None,
+    shingle_words: int = 5, similarity: float = 0.8,
+) -> DataFrame:
+    """Links (u, v) that connect ``prints(row, fingerprint, bands)`` as all pairs within the radius in some shard.
 
-    A shard of over ``chunk_rows`` rows is searched in chunks; one row of each
-    group found goes on to the next round, dealt to other chunks.
+    With ``texts(row, text)`` only pairs count whose sets of shingles are ``similarity`` alike or more.
     """
     rows = prints.select("row", "fingerprint", F.posexplode("bands").alias("band", "bits"))
-    found = None
-    for round_ in range(max_rounds):
-        sizes = rows.groupBy("band", "bits").agg(F.count("*").alias("n")).where("n > 1")
-        chunks = F.ceil(F.col("n") / chunk_rows)
-        placed = rows.join(sizes, ["band", "bits"]).withColumn(
-            "chunk", F.pmod(F.xxhash64("row", "band", F.lit(round_)), chunks)
-        )
-        run, schema = _search(radius)
-        order = ("band", "bits", "chunk")
-        searched = (
-            placed.select("band", "bits", "chunk", "row", "fingerprint")
-            .repartition(*order)
-            .sortWithinPartitions(*order, "row")
-            .mapInArrow(run, schema)
-            .checkpoint()
-        )
-        links = searched.where("u is not null").select("u", "v")
-        found = links if found is None else found.union(links)
-        large = placed.select("band", "bits", "n").where(F.col("n") > chunk_rows).select("band", "bits").distinct()
-        rows = (
-            searched.where("u is null")
-            .join(large, ["band", "bits"], "left_semi")
-            .select(F.col("v").alias("row"), "fingerprint", "band", "bits")
-            .checkpoint()
-        )
-        if rows.isEmpty():
-            break
-    return found.distinct()
-
-
-def similar_enough(a, b, size: int, similarity: float):
-    """Whether the sets of two texts' shingles are so alike."""
-
-    @F.pandas_udf("boolean")
-    def run(left: pd.Series, right: pd.Series) -> pd.Series:
-        out, last, own = [], None, None
-        for x, y in zip(left, right):
-            if x is not last:
-                last, own = x, np.unique(shingles(_lowered(x), size))
-            other = np.unique(shingles(_lowered(y), size))
-            shared = len(np.intersect1d(own, other, assume_unique=True))
-            out.append(shared >= similarity * (len(own) + len(other) - shared))
-        return pd.Series(out)
-
-    return run(a, b)
+    # Bands with the same rows are one shard.
+    same = (F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y"))
+    shards = (
+        rows.groupBy("band", "bits").agg(*same).where("n > 1").groupBy("n", "x", "y")
+        .agg(F.min(F.struct("band", "bits")).alias("shard")).select("shard.band", "shard.bits", "n")
+    )
+    placed = rows.join(shards, ["band", "bits"]).select("band", "bits", "row", "fingerprint")
+    placed = placed.withColumn("text", F.lit(None).cast("string")) if texts is None else placed.join(texts, "row")
+    run, schema = _search(radius, shingle_words, similarity)
+    order = ("band", "bits")
+    searched = placed.repartition(*order).sortWithinPartitions(*order, "row").mapInArrow(run, schema)
+    return searched.distinct().checkpoint()
 
 
 def without_near_copies(
@@ -214,12 +190,11 @@ def without_near_copies(
         .checkpoint()
     )
     firsts = described.join(copies, "row", "left_semi")
-    links = candidate_links(firsts.select("row", "fingerprint", "bands"), radius)
-    pair = links.join(texts.select(F.col("row").alias("u"), F.col("text").alias("u_text")), "u").join(
-        texts.select(F.col("row").alias("v"), F.col("text").alias("v_text")), "v"
+    links = candidate_links(
+        firsts.select("row", "fingerprint", "bands"), radius, texts=texts.select("row", "text"),
+        shingle_words=shingle_words, similarity=similarity,
     )
-    verified = pair.where(similar_enough(F.col("u_text"), F.col("v_text"), shingle_words, similarity)).select("u", "v")
-    groups = components(verified)
+    groups = components(links)
     placed = groups.withColumnRenamed("node", "row").join(ids, "row")
     stays = placed.groupBy("root").agg(F.min("place").alias("place")).select(F.col("place.row").alias("row"))
     gone = groups.select(F.col("node").alias("row")).join(stays, "row", "left_anti")
