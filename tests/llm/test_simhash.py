@@ -143,3 +143,20 @@ def test_star_group_leaves_one(spark, tmp_path):
     assert len(set(groups(texts, lambda a, b: sets_alike(a, b) and "-" in a and "-" in b))) > 7  # only the originals join them
     kept = near_copies.without_near_copies(frame(spark, documents(texts), tmp_path))
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(of))
+
+
+def test_hot_shards_lose_no_verified_link(spark):
+    """Rows of several chunks, few of them connected: the components are those of all pairs in a shard."""
+    rng = random.Random(12)
+    texts = star(rng, 40) + star(rng, 10)
+    rng.shuffle(texts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    run, schema = near_copies._described(5)
+    # One shard holds all: what its chunks do not meet is met nowhere else.
+    prints = rows.mapInArrow(run, schema).selectExpr("row", "fingerprint", "array(1L) AS bands")
+    links = near_copies.candidate_links(prints, 64, chunk_rows=8, texts=rows)
+    pairs = {(texts[u], texts[v]) for u, v in links.collect()}
+    assert all(sets_alike(u, v) for u, v in pairs)
+    of = groups(texts, sets_alike)
+    assert len(set(of)) == 2
+    assert groups(texts, lambda a, b: (a, b) in pairs or (b, a) in pairs) == of

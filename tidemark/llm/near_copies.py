@@ -72,39 +72,48 @@ def _alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return shared >= similarity * (len(a) + len(b) - shared)
 
 
-def _tree_links(rows: list[tuple[int, int]], radius: int, alike: Callable[[int, int], bool]) -> list[tuple[int, int]]:
-    """Links that connect the (row, fingerprint) of a shard exactly as all pairs within the radius that are ``alike``.
+def _tree_links(
+    rows: list[tuple[int, int, int, int]], radius: int, alike: Callable[[int, int], bool]
+) -> list[tuple[int, int]]:
+    """Links that connect the (row, fingerprint, root, side) of a block as all pairs within the radius that are ``alike``.
 
-    A row meets every row before it within the radius, until a link that holds joins their groups.
+    Rows of one root are connected already.  Sides 1 and 2 are compared with each other,
+    side 0 with itself.  A row meets every row before it, until a link that holds joins their groups.
     """
-    parent = list(range(len(rows)))
+    parent = {r[2]: r[2] for r in rows}
 
     def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
+        at = rows[i][2]
+        while parent[at] != at:
+            parent[at] = parent[parent[at]]
+            at = parent[at]
+        return at
 
     # The text most others were made from is met first: it joins them by one check each.
-    middle = majority(np.array([p & _ALL for _, p in rows], dtype=np.uint64))
-    order = sorted(range(len(rows)), key=lambda i: (((rows[i][1] & _ALL) ^ middle).bit_count(), rows[i][0]))
+    middle = majority(np.array([r[1] & _ALL for r in rows], dtype=np.uint64))
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][3], ((rows[i][1] & _ALL) ^ middle).bit_count(), rows[i][0]))
     tree, members, links = BKTree(), [], []
     for rank, i in enumerate(order):
-        print_ = rows[i][1] & _ALL
-        for j in sorted(j for at in tree.within(print_, radius) for j in members[at]):
-            a, b = root(j), root(rank)
-            if a != b and alike(order[j], i):
-                parent[max(a, b)] = min(a, b)
-                links.append((rows[order[j]][0], rows[i][0]))
-        at = tree.add(print_)
-        if at == len(members):
-            members.append([])
-        members[at].append(rank)
+        row, print_, _, side = rows[i]
+        if side != 1:
+            for j in sorted(j for at in tree.within(print_ & _ALL, radius) for j in members[at]):
+                a, b = root(order[j]), root(i)
+                if a != b and alike(order[j], i):
+                    parent[max(a, b)] = min(a, b)
+                    links.append((rows[order[j]][0], row))
+        if side != 2:
+            at = tree.add(print_ & _ALL)
+            if at == len(members):
+                members.append([])
+            members[at].append(rank)
     return links
 
 
+_BLOCK = ("band", "bits", "kind", "i", "j")
+
+
 def _search(radius: int, size: int, similarity: float):
-    """Links (u, v) in the rows of one shard after another; without texts, all pairs within the radius are alike."""
+    """Links (u, v) in the rows of one block after another; without texts, all pairs within the radius are alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, texts = None, [], []
@@ -122,14 +131,13 @@ def _search(radius: int, size: int, similarity: float):
 
         out = []
         for batch in batches:
-            for band, bits, row, print_, text in zip(
-                *(batch.column(c).to_pylist() for c in ("band", "bits", "row", "fingerprint", "text"))
-            ):
-                if (band, bits) != key:
+            columns = (batch.column(c).to_pylist() for c in (*_BLOCK, "row", "fingerprint", "root", "side", "text"))
+            for *block, row, print_, root, side, text in zip(*columns):
+                if block != key:
                     if held:
                         out.append(result())
-                    key, held, texts = (band, bits), [], []
-                held.append((row, print_))
+                    key, held, texts = block, [], []
+                held.append((row, print_, root, side))
                 texts.append(text)
             if out:
                 yield from pa.Table.from_batches(out).combine_chunks().to_batches()
@@ -140,6 +148,51 @@ def _search(radius: int, size: int, similarity: float):
     return run, "u long, v long"
 
 
+def _open_blocks(hot: DataFrame, links: DataFrame, chunk_rows: int) -> DataFrame:
+    """Blocks of hot shards that together hold every pair not connected by ``links`` yet.
+
+    A shard's rows outside its largest group are open: their chunks meet each other and
+    the chunks of that group, whose own rows need not meet again.
+    """
+    rooted = (
+        hot.join(components(links).withColumnRenamed("node", "row"), "row", "left")
+        .withColumn("root", F.coalesce("root", "row"))
+        .checkpoint()
+    )
+    sizes = (
+        rooted.groupBy("band", "bits", "root").agg(F.count("*").alias("n"))
+        .groupBy("band", "bits").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"))
+        .where(F.col("n") > F.col("main.n"))
+        .select(
+            "band", "bits", F.col("main.root").alias("main"),
+            F.ceil((F.col("n") - F.col("main.n")) / chunk_rows).cast("int").alias("n_open"),
+            F.ceil(F.col("main.n") / chunk_rows).cast("int").alias("n_main"),
+        )
+    )
+    own = F.col("own")
+
+    def block(kind: int, i, j, side):
+        return F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.alias("side"))
+
+    def among(k):
+        side = F.when(k == own, 0).when(own < k, 1).otherwise(2)
+        return block(0, F.least(own, k), F.greatest(own, k), side)
+
+    blocks_open = F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("n_open") - 1), among),
+        F.transform(F.sequence(F.lit(0), F.col("n_main") - 1), lambda k: block(1, own, k, F.lit(1))),
+    )
+    blocks_main = F.transform(F.sequence(F.lit(0), F.col("n_open") - 1), lambda k: block(1, k, own, F.lit(2)))
+    is_main = F.col("root") == F.col("main")
+    chunks = F.when(is_main, F.col("n_main")).otherwise(F.col("n_open"))
+    return (
+        rooted.join(sizes, ["band", "bits"])
+        .withColumn("own", F.pmod(F.xxhash64("row"), chunks.cast("long")).cast("int"))
+        .select("band", "bits", "row", "fingerprint", "root", F.explode(F.when(is_main, blocks_main).otherwise(blocks_open)).alias("b"))
+        .select("band", "bits", "row", "fingerprint", "root", "b.*")
+    )
+
+
 def candidate_links(
     prints: DataFrame, radius: int, chunk_rows: int = 1000, *, texts: DataFrame | None = None,
     shingle_words: int = 5, similarity: float = 0.8,
@@ -147,6 +200,8 @@ def candidate_links(
     """Links (u, v) that connect ``prints(row, fingerprint, bands)`` as all pairs within the radius in some shard.
 
     With ``texts(row, text)`` only pairs count whose sets of shingles are ``similarity`` alike or more.
+    A shard of over ``chunk_rows`` rows is searched in chunks first; then all its pairs which the
+    links found do not connect are, in blocks of two chunks.
     """
     rows = prints.select("row", "fingerprint", F.posexplode("bands").alias("band", "bits"))
     # Bands with the same rows are one shard.
@@ -155,12 +210,24 @@ def candidate_links(
         rows.groupBy("band", "bits").agg(*same).where("n > 1").groupBy("n", "x", "y")
         .agg(F.min(F.struct("band", "bits")).alias("shard")).select("shard.band", "shard.bits", "n")
     )
-    placed = rows.join(shards, ["band", "bits"]).select("band", "bits", "row", "fingerprint")
-    placed = placed.withColumn("text", F.lit(None).cast("string")) if texts is None else placed.join(texts, "row")
+    placed = rows.join(shards, ["band", "bits"]).checkpoint()
     run, schema = _search(radius, shingle_words, similarity)
-    order = ("band", "bits")
-    searched = placed.repartition(*order).sortWithinPartitions(*order, "row").mapInArrow(run, schema)
-    return searched.distinct().checkpoint()
+
+    def searched(blocks: DataFrame) -> DataFrame:
+        blocks = blocks.withColumn("text", F.lit(None).cast("string")) if texts is None else blocks.join(texts, "row")
+        dealt = blocks.select(*_BLOCK, "row", "fingerprint", "root", "side", "text").repartition(*_BLOCK)
+        return dealt.sortWithinPartitions(*_BLOCK, "row").mapInArrow(run, schema).distinct().checkpoint()
+
+    chunk = F.pmod(F.xxhash64("row", "band"), F.ceil(F.col("n") / chunk_rows)).cast("int")
+    none = F.lit(0)
+    found = searched(
+        placed.select("band", "bits", "row", "fingerprint", F.col("row").alias("root"),
+                      none.alias("kind"), chunk.alias("i"), none.alias("j"), none.alias("side"))
+    )
+    hot = placed.where(F.col("n") > chunk_rows).select("band", "bits", "row", "fingerprint")
+    if hot.isEmpty():
+        return found
+    return found.union(searched(_open_blocks(hot, found, chunk_rows)))
 
 
 def without_near_copies(
