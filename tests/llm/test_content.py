@@ -100,6 +100,21 @@ def test_leaks(spark, tmp_path):
     assert decontamination.without_leaks(frame(spark, [], tmp_path / "none"), bench).collect() == []
 
 
+def test_leaks_of_items_longer_than_the_text(spark, tmp_path):
+    rng = random.Random(6)
+    items = [(n, " ".join(f"b{rng.randrange(10**6)}" for _ in range(n))) for n in (3, 5, 6, 9, 20, 60)]
+    docs = [(n, cut, " ".join(t.split()[:-cut])) for n, t in items for cut in (1, 2, 4, 11, 12, 15) if cut < n]
+    rows = [(i, t, *PAD) for i, (_, _, t) in enumerate(docs)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontamination.find_leaks(frame(spark, rows, tmp_path), bench).collect()}
+    want = {(i, n): (n - 4 - cut) / (n - 4) for i, (n, cut, _) in enumerate(docs) if n - 4 - cut >= 0.8 * (n - 4)}
+    assert {docs[i][:2] for i, _ in want} == {(9, 1), (20, 1), (20, 2), (60, 1), (60, 2), (60, 4), (60, 11)}
+    assert {k: r.similarity for k, r in found.items()} == want
+    assert all((r.start, r.n_words) == (0, len(docs[i][2].split())) for (i, _), r in found.items())
+    kept = decontamination.without_leaks(frame(spark, rows, tmp_path), bench)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(range(len(rows))) - {i for i, _ in want})
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

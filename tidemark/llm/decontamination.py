@@ -2,7 +2,7 @@
 
 A window with as many words as an item is a leak of it if their fingerprints
 lie within the radius and their weighted five-word shingles are at least 0.8
-alike.  Fingerprints within ``RADIUS`` bits of 64 differ in at most
+alike; of an item longer than the text, the whole text is the window.  Fingerprints within ``RADIUS`` bits of 64 differ in at most
 ``RADIUS // BLOCKS`` bits in one of ``BLOCKS`` blocks, so a lookup of each block among the
 items' blocks and all their neighbours misses none.  Only windows with
 enough shingles of the benchmark to reach the similarity at all are
@@ -116,9 +116,12 @@ class ItemIndex:
         best: dict[int, tuple[float, int, int]] = {}
         seen: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for size in self.sizes:
-            if size.n_words > len(hashes):
-                break
             length = min(self.shingle_words, size.n_words)
+            # Of a longer item's window, the whole text, so many shingles are missing at least.
+            whole = len(hashes) < size.n_words
+            n_shingles = len(hashes) - length + 1 if whole else size.n_shingles
+            if n_shingles < max(1, self.similarity * size.n_shingles - 1e-9):
+                break
             if length not in seen:
                 own = shingles(hashes, length)
                 values, table = self.known[length]
@@ -126,6 +129,11 @@ class ItemIndex:
                 found = values[np.minimum(np.searchsorted(values, own[maybe]), len(values) - 1)] == own[maybe]
                 seen[length] = own, maybe[found]
             own, known = seen[length]
+            if whole:
+                need = self.similarity * (n_shingles + size.n_shingles) / (1 + self.similarity)
+                if len(known) >= need - 1e-9:
+                    self._search(size, own[None], np.zeros(1, dtype=np.int64), len(hashes), best)
+                continue
             if len(known) < size.need:
                 continue
             # A window with enough known shingles starts at or before the first of ``need`` consecutive ones.
@@ -140,13 +148,13 @@ class ItemIndex:
             np.add.at(edge, np.maximum(high + 1, low), -1)
             starts = np.flatnonzero(np.cumsum(edge) > 0)
             for at in range(0, len(starts), _GROUP):
-                self._search(size, own, starts[at : at + _GROUP], best)
+                group = starts[at : at + _GROUP]
+                self._search(size, own[group[:, None] + np.arange(size.n_shingles)], group, size.n_words, best)
         return [
             {"item_id": i, "start": s, "n_words": n, "similarity": like} for i, (like, s, n) in sorted(best.items())
         ]
 
-    def _search(self, size: _Size, own: np.ndarray, starts: np.ndarray, best: dict) -> None:
-        rows = own[starts[:, None] + np.arange(size.n_shingles)]
+    def _search(self, size: _Size, rows: np.ndarray, starts: np.ndarray, n_words: int, best: dict) -> None:
         prints = _fingerprints(rows)
         candidates = np.zeros((len(starts), len(size.ids)), dtype=bool)
         for b in range(BLOCKS):
@@ -157,7 +165,7 @@ class ItemIndex:
                 continue
             like, id_, start = weighted_jaccard(rows[w], size.shingles[i]), size.ids[i], int(starts[w])
             if like >= self.similarity and (id_ not in best or (like, -start) > (best[id_][0], -best[id_][1])):
-                best[id_] = like, start, size.n_words
+                best[id_] = like, start, n_words
 
 
 def item_blocks(
@@ -191,7 +199,7 @@ def leaks(text: Column | str, index: ItemIndex) -> Column:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """(doc_id, item_id, start, n_words, similarity): an item's most similar window in a text, for every leak.
 
-    Words are compared in lower case.  Items without words leak nowhere; repeated
+    Words are compared in lower case.  A text with fewer words than an item is compared with it as a whole.  Items without words leak nowhere; repeated
     documents and items are judged each for itself; a null item id counts as -1.
     """
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
