@@ -155,3 +155,42 @@ def test_registry_descriptions():
     for spec in TABLES.values():
         assert all(f.metadata.get("comment") for f in spec.schema.fields)
         assert set(spec.key) | {spec.date_column} <= set(spec.required)
+
+
+@pytest.mark.parametrize("layer", ["curated", "facts", "landing"])
+def test_driver_lost_between_delete_and_rename_loses_no_rows(spark, lake, monkeypatch, layer):
+    """The month's files are gone and the new ones not there: the next run has all older keys again."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from tidemark.registry import FACTS
+    from tidemark.sources.lake import Lake
+
+    state = state_of(lake)
+    jobs.ingest_batch(lake, envelopes(spark, *days(), profile()), batch(1))
+    jobs.refresh_from_landing(lake, state, "main", AT, WINDOW)
+    later = AT + timedelta(hours=1)
+    added = envelopes(spark, ("daily_prices", "A", date(2024, 2, 16), price(7)))
+    fact = next(n for n, f in FACTS.items() if f.source is DAILY_PRICE)
+    path = lake.path(layer, {"curated": DAILY_PRICE.curated_name, "facts": fact, "landing": DAILY_PRICE.name}[layer])
+    write = DataFrameWriter.parquet
+
+    def broken(self, to, *args, **options):
+        if to != path:
+            return write(self, to, *args, **options)
+        files = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/yyyymm=202402")
+        assert files.getFileSystem(spark._jsc.hadoopConfiguration()).delete(files, True)
+        raise ConnectionError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(DataFrameWriter, "parquet", broken)
+        with pytest.raises(ConnectionError):
+            jobs.ingest_batch(lake, added, batch(2, later))
+            jobs.refresh_from_landing(lake, state, "main", later, WINDOW)
+    lake = Lake(spark, lake.root)
+    assert jobs.refresh_from_landing(lake, state, "main", later, WINDOW) is Decision.NEW
+    want = {date(y, m, 15) for y in (2024, 2025) for m in (1, 2)} | {date(2024, 2, 16)}
+    assert {r["price_date"] for r in lake.landing(DAILY_PRICE).collect()} == want
+    assert {r["price_date"] for r in lake.curated(DAILY_PRICE).collect()} == want
+    stored = lake.fact(fact, models.fact_stored_schema(FACTS[fact]))
+    assert {r[FACTS[fact].source.date_column] for r in stored.collect()} == want
+    assert state.read("main") == later

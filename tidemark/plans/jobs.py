@@ -75,6 +75,7 @@ def split_by_dataset(spark: SparkSession, envelopes: DataFrame) -> tuple[DataFra
 
 def upsert_landing(lake: Lake, spec: TableSpec, rows: DataFrame) -> None:
     """A7 on stored landing: only the months the batch touches are rewritten."""
+    lake.finish_swaps()
     incoming = last_write_per_key(rows, spec.key, arrival_order(spec)).select(*spec.columns)
     months = months_of(rows, spec.date_column)
     if not months:
@@ -130,6 +131,7 @@ def landing_tables(lake: Lake) -> dict[str, DataFrame]:
 
 def detect_new(lake: Lake, state: WatermarkStore, job: str) -> Plan:
     """J1, J2."""
+    lake.finish_swaps()
     staged = {name: lake.staging(spec) for name, spec in TABLES.items()}
     return detect(
         list(landing_tables(lake).values()), state.read(job), lambda: total_rows(staged).first()["total_rows"]
@@ -146,6 +148,7 @@ def refresh_curated(lake: Lake, spec: TableSpec, months: Sequence[int], incremen
     """
     if not months:
         return
+    lake.finish_swaps()
     if increment is None:
         versions = only_months(lake.staging(spec), list(months)).select(*spec.columns)
     else:
@@ -165,6 +168,7 @@ def stage_increment(lake: Lake, spec: TableSpec, increment: DataFrame) -> list[i
 
 def sync_increment(lake: Lake, start_after: datetime) -> dict[str, list[int]]:
     """Pull rows after the watermark, append them, rebuild what they touch."""
+    lake.finish_swaps()
     touched = {}
     for name, spec in TABLES.items():
         increment = newer_than(lake.landing(spec), start_after)
@@ -175,6 +179,7 @@ def sync_increment(lake: Lake, start_after: datetime) -> dict[str, list[int]]:
 
 def rebuild_curated(lake: Lake) -> None:
     """A6 in full: all months of all tables."""
+    lake.finish_swaps()
     for spec in TABLES.values():
         refresh_curated(lake, spec, months_of(lake.staging(spec), spec.date_column))
 
@@ -183,6 +188,7 @@ def compact_staging(lake: Lake, spec: TableSpec, months: Sequence[int]) -> None:
     """Keep only the newest version of each staged key in some months."""
     if not months:
         return
+    lake.finish_swaps()
     versions = only_months(lake.staging(spec), list(months)).select(*spec.columns)
     newest = latest_by_key(versions, spec.key, VERSION_ORDER)
     lake.overwrite_months("staging", spec.staging_name, newest, spec.date_column, spec.sort_columns)
@@ -214,6 +220,7 @@ def refresh_dimension(lake: Lake, views: dict[str, DataFrame], built_at: datetim
 
 def refresh_fact(lake: Lake, name: str, view: DataFrame) -> DataFrame:
     """J5 on stored facts: months of the new rows are rewritten."""
+    lake.finish_swaps()
     fact = FACTS[name]
     schema = models.fact_stored_schema(fact)
     current = lake.fact(name, schema)
@@ -229,6 +236,7 @@ def refresh_fact(lake: Lake, name: str, view: DataFrame) -> DataFrame:
 
 def build_models(lake: Lake, built_at: datetime, as_of: datetime | None = None) -> list[dict]:
     """Views, dimension, facts, monthly summary, then all their checks."""
+    lake.finish_swaps()
     views = staging_views(lake)
     dimension = refresh_dimension(lake, views, built_at)
     facts = {name: refresh_fact(lake, name, views[fact.source.name]) for name, fact in FACTS.items()}
@@ -242,6 +250,7 @@ def build_models(lake: Lake, built_at: datetime, as_of: datetime | None = None)
 
 def build_mart(lake: Lake, loaded_at: datetime, window: Window = Window()) -> list[dict]:
     """Mart, its checks and its gate."""
+    lake.finish_swaps()
     prices, profiles = lake.curated(DAILY_PRICE), lake.curated(BASIC_INFO)
     mart = models.monthly_mart(prices, profiles, loaded_at, window.start, window.end)
     lake.publish(MONTHLY_MART_NAME, mart, ("symbol", "year", "month"))

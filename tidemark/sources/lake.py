@@ -25,6 +25,8 @@ _COMMIT_SCHEMA = T.StructType(
     ]
 )
 GENERATION = "generation"
+#: In a folder of rows that wait for their swap: all of them are written.  Readers skip names with an underscore.
+_WHOLE = "_whole"
 
 
 def with_month(df: DataFrame, date_column: str) -> DataFrame:
@@ -134,17 +136,58 @@ class Lake:
     ) -> None:
         """Replace exactly the months present in ``rows``; other months stay.
 
-        ``rows`` may be derived from the same table: files of a month are
-        swapped only after all of them are written.
+        ``rows`` may be derived from the same table: they are written beside it first, and a
+        marker says that they are whole.  The swap deletes a month before it renames the new
+        one; if it breaks, :meth:`finish_swaps` repeats it from that copy.
         """
+        self.finish_swaps()
         columns = [c for c in rows.columns if c != PARTITION_COLUMN]
         monthly = with_month(rows.select(*columns), date_column)
+        pending = self.path("pending", f"{layer}.{name}")
+        writer = self._month_writer(monthly, sort_columns).mode("overwrite")
+        writer.option("partitionOverwriteMode", "static").parquet(pending)
+        files, place = self._files(f"{pending}/{_WHOLE}")
+        marker = files.create(place)
+        marker.writeUTF(",".join(sort_columns))
+        marker.close()
+        self._swap(layer, name, monthly.schema, sort_columns)
+
+    def _files(self, path: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def _swap(self, layer: str, name: str, schema: T.StructType, sort_columns: tuple[str, ...]) -> None:
+        pending = self.path("pending", f"{layer}.{name}")
         (
-            self._month_writer(monthly, sort_columns)
+            self._month_writer(self.spark.read.schema(schema).parquet(pending), sort_columns)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .parquet(self.path(layer, name))
         )
+        # The marker goes first: a copy half deleted is not whole.
+        files, place = self._files(f"{pending}/{_WHOLE}")
+        files.delete(place, False)
+        files, place = self._files(pending)
+        files.delete(place, True)
+
+    def finish_swaps(self) -> None:
+        """Repeat the month overwrites that broke after their rows were whole.
+
+        For the one job that writes; every job that changes tables starts with it.
+        """
+        files, top = self._files(f"{self.root.rstrip('/')}/pending")
+        if not files.exists(top):
+            return
+        for status in files.listStatus(top):
+            label = status.getPath().getName()
+            files, marker = self._files(f"{self.path('pending', label)}/{_WHOLE}")
+            if not files.exists(marker):
+                continue
+            stream = files.open(marker)
+            sort_columns = tuple(c for c in stream.readUTF().split(",") if c)
+            stream.close()
+            schema = self.spark.read.parquet(self.path("pending", label)).schema
+            self._swap(*label.split(".", 1), schema, sort_columns)
 
     # Published generations ----------------------------------------------------
 
