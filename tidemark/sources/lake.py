@@ -181,7 +181,8 @@ class Lake:
         for status in files.listStatus(top):
             label = status.getPath().getName()
             files, marker = self._files(f"{self.path('pending', label)}/{_WHOLE}")
-            if not files.exists(marker):
+            # An empty marker was lost while it was written, so its swap had not begun.
+            if not files.exists(marker) or not files.getFileStatus(marker).getLen():
                 continue
             stream = files.open(marker)
             sort_columns = tuple(c for c in stream.readUTF().split(",") if c)
