@@ -74,7 +74,7 @@ def test_file_has_bloom_filters_and_run_lengths(spark, tmp_path):
 @settings(deadline=None, max_examples=300)
 @given(st.lists(LETTERS, min_size=1, max_size=6))
 def test_pieces_give_the_librarys_ids(tokenizer, processor, texts):
-    encoder = token_files._encoder(BPE)
+    encoder = token_files.encoder_of(BPE)
     found, sizes = encoder.encode(texts, np.array([2], "<u4").tobytes())
     assert [x.tolist() for x in np.split(found, np.cumsum(sizes)[:-1])] == [ids(tokenizer, t) for t in texts]
     tier = Tier(lambda wanted: token_counts.segment_lengths(processor, wanted), limit=4)

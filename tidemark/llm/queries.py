@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bisector, decontamination, digest, merkle, mixing, quality, repeats, secret_scan, simhash, token_counts, token_files, toxicity
+from tidemark.llm import bisector, decontamination, digest, merkle, mixing, packing, quality, repeats, secret_scan, simhash, token_counts, token_files, toxicity
 from tidemark.session import scratch_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,3 +238,8 @@ FROM {last} JOIN c{rounds} AS c USING (c)"""
 
 
 ORACLES["op12_centroid_clusters"] = _clusters_sql()
+
+
+@query
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), length=2048, end_id=1, digest=True)

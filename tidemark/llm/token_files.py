@@ -23,7 +23,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.pieces import Tier, cut_at_every_space, segments
 
-_GROUP_CHARS = 4_000_000
+_GROUP_CHARS = 2_000_000
+#: Longer segments are encoded where they stand and not kept, so a cache is bounded in bytes too.
+_KEPT_CHARS = 64
 #: The tokenizer's own pattern cuts between letters, these marks and a line break.
 _MARKS = ".,;:!?"
 _LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
@@ -51,7 +53,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.first = Tier(self._encode, limit=50_000)
-        self.after = Tier(self._encode_after, limit=500_000)
+        self.after = Tier(self._encode_after, limit=400_000)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return self._packed([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
@@ -103,7 +105,7 @@ class Encoder:
             fresh[segment] = (self.after[word] if ids is None else ids) + b"".join(map(get, rest))
         found = [fresh[s] if ids is None else ids for s, ids in zip(wanted, found)]
         self.after.make_room(len(fresh))
-        self.after.update(fresh)
+        self.after.update(entry for entry in fresh.items() if len(entry[0]) <= _KEPT_CHARS)
         return found
 
     def _by_segments(self, text: str) -> bytes:
@@ -124,12 +126,14 @@ class Encoder:
         # A text that isn't plain is one segment of its own.
         lists = pc.split_pattern(pa.array([t if p else "" for t, p in zip(texts, plain)], pa.large_string()), " ")
         numbered = lists.values.dictionary_encode()
-        known = numbered.dictionary.to_pylist()
+        known = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
         odd = [None if p else self._by_segments(t) if t else b"" for t, p in zip(texts, plain)]
         heads = [t.split(" ", 1)[0] if p else None for t, p in zip(texts, plain)]
         self.first.learn({h for h in heads if h is not None})
         parts = self._after(known)
         parts += [self.first[h] if h is not None else o for h, o in zip(heads, odd)]
+        for long in [h for h in self.first if len(h) > _KEPT_CHARS]:
+            del self.first[long]
         parts.append(end)
         sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
         ids, at = np.frombuffer(b"".join(parts), dtype="<u4"), np.cumsum(sizes) - sizes
@@ -139,7 +143,8 @@ class Encoder:
         number = np.insert(number, edges[1:], len(parts) - 1)
         size = sizes[number]
         ends = np.cumsum(size)
-        places = np.repeat(at[number] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        places = np.repeat(at[number] - (ends - size), size)
+        places += np.arange(len(places))
         last = ends[edges[1:] + np.arange(len(texts))]
         return ids[places], np.diff(last, prepend=0)
 
@@ -147,13 +152,30 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def _encoder(path: str) -> Encoder:
+def encoder_of(path: str) -> Encoder:
     """One encoder per worker, with its caches, for all its tasks."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
 
+def encoded_groups(encoder: Encoder, texts: pa.Array, end: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first text, ids of a group of texts one after the other, how many each has), each text followed by ``end``."""
+    at = 0
+    while at < len(texts):
+        group, chars = [], 0
+        while at + len(group) < len(texts) and chars < _GROUP_CHARS:
+            group.append(texts[at + len(group)].as_py())
+            chars += len(group[-1] or "")
+        gc.disable()  # the many small objects of a group hold no cycles
+        try:
+            ids, sizes = encoder.encode(group, end)
+        finally:
+            gc.enable()
+        yield at, ids, sizes
+        at += len(sizes)
+
+
 def write_token_files(
     docs: DataFrame, path: str, tokenizer_path: str, *, id_column: str = "doc_id", text_column: str = "text",
     end_id: int = 2, parts: int | None = None, text_bytes_per_part: int = 32 << 20,
@@ -171,27 +193,18 @@ def write_token_files(
         parts = max(1, -(-total // text_bytes_per_part))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, start = _encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, part, start = encoder_of(tokenizer_path), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            texts = batch.column(1)
-            at = 0
-            while at < len(texts):
-                group, chars = [], 0
-                while at + len(group) < len(texts) and chars < _GROUP_CHARS:
-                    group.append(texts[at + len(group)].as_py())
-                    chars += len(group[-1] or "")
-                gc.disable()  # the many small objects of a group hold no cycles
-                ids, sizes = encoder.encode(group, end)
-                gc.enable()
+            for at, ids, sizes in encoded_groups(encoder, batch.column(1), end):
                 ends = np.cumsum(sizes)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.view("<i4"))
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(at, len(group)),
-                        pa.array(np.full(len(group), part), pa.int32()),
+                        batch.column(0).slice(at, len(sizes)),
+                        pa.array(np.full(len(sizes), part), pa.int32()),
                         pa.array(start + ends - sizes, pa.int64()),
                         pa.array(sizes, pa.int32()),
                         lists,
@@ -199,7 +212,6 @@ def write_token_files(
                     names=["doc_id", "part", "start_in_part", "n_tokens", "ids"],
                 )
                 start += int(ends[-1])
-                at += len(group)
 
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
