@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+import logging
+from collections.abc import Callable, Collection, Mapping
+from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 from enum import Enum
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.metrics import newest_overall
 from tidemark.registry import EPOCH_WATERMARK
 from tidemark.sources.lake import parse_instant
 
 EARLIEST_FACT = "1900-01-01"
+_LOG = logging.getLogger(__name__)
 
 
 class Decision(Enum):
     EMPTY = "EMPTY"  # landing holds nothing yet
     NEW = "NEW"  # rows after the watermark
-    RESYNC = "RESYNC"  # watermark is current but staging was lost: reload all
+    RESYNC = "RESYNC"  # watermark is current but some months below landing are not: reload those
     SKIP = "SKIP"  # nothing to do
 
 
@@ -28,26 +29,27 @@ class Plan:
     decision: Decision
     latest: datetime | None
     start_after: datetime
+    #: RESYNC: the months of each table to load again.
+    drifted: Mapping[str, Collection[int]] = field(default_factory=dict)
 
 
-def detect(landing: Sequence[DataFrame], watermark: datetime, staging_rows: Callable[[], int]) -> Plan:
+def decide(latest: datetime | None, watermark: datetime, drift: Callable[[], Mapping[str, Collection[int]]]) -> Plan:
     """Compare the newest landing cursor with the stored watermark.
 
-    ``staging_rows`` is asked only when nothing is new; if staging cannot be
-    read it is taken as filled.
+    ``drift`` is asked only when nothing is new: the months of each table that the layers
+    below landing do not hold as landing does.  If that cannot be read they are taken to hold it.
     """
-    newest = newest_overall(landing).select(F.date_format("max_ingested_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")).first()[0]
-    if newest is None:
+    if latest is None:
         return Plan(Decision.EMPTY, None, watermark)
-    latest = parse_instant(newest)
     if latest > watermark:
         return Plan(Decision.NEW, latest, watermark)
     try:
-        lost = staging_rows() == 0
+        drifted = {name: months for name, months in drift().items() if months}
     except Exception:  # noqa: BLE001 - any failure to read means: do not reload
-        lost = False
-    if lost:
-        return Plan(Decision.RESYNC, latest, parse_instant(EPOCH_WATERMARK))
+        _LOG.warning("the layers below landing could not be compared; nothing is reloaded", exc_info=True)
+        drifted = {}
+    if drifted:
+        return Plan(Decision.RESYNC, latest, parse_instant(EPOCH_WATERMARK), drifted)
     return Plan(Decision.SKIP, latest, watermark)
 
 
@@ -87,8 +89,3 @@ def stale(df: DataFrame, as_of: datetime | str, cursor: str = "ingested_at", day
     limit = parse_instant(as_of) - timedelta(days=days)
     newest = df.agg(F.max(cursor).cast("timestamp").alias("max_loaded_at"))
     return newest.where((F.col("max_loaded_at") < F.lit(limit)) | F.col("max_loaded_at").isNull())
-
-
-def business_date(instant: datetime) -> date:
-    """UTC date a run belongs to."""
-    return parse_instant(instant).date()

@@ -168,12 +168,17 @@ def require_clean(report: DataFrame) -> list[dict]:
 # Gates ------------------------------------------------------------------------
 
 
+def gate_rows(payload: dict[str, int], source: str, target: str, problem: str) -> dict[str, int]:
+    """Rows in the source without any in the target stop the flow; the counts go with the failure."""
+    if payload[source] > 0 and payload[target] == 0:
+        raise QualityFailure(f"{problem}: {payload}")
+    return payload
+
+
 def gate_landing_to_curated(landing: DataFrame, curated: DataFrame) -> dict[str, int]:
     """Landing rows without any curated row stop the flow."""
     payload = {"landing_rows": landing.count(), "curated_rows": curated.count()}
-    if payload["landing_rows"] > 0 and payload["curated_rows"] == 0:
-        raise QualityFailure(f"landing has rows but curated is empty: {payload}")
-    return payload
+    return gate_rows(payload, "landing_rows", "curated_rows", "landing has rows but curated is empty")
 
 
 def gate_curated_to_mart(
@@ -187,6 +192,4 @@ def gate_curated_to_mart(
         "mart_rows": counted[0],
         "mart_distinct_symbols": counted[1],
     }
-    if in_scope > 0 and counted[0] == 0:
-        raise QualityFailure(f"curated has rows in the window but the mart is empty: {payload}")
-    return payload
+    return gate_rows(payload, "curated_rows_in_window", "mart_rows", "curated has rows in the window but the mart is empty")

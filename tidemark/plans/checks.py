@@ -66,10 +66,15 @@ def staging_checks(views: Mapping[str, DataFrame]) -> list[q.TableChecks]:
 
 
 def model_checks(
-    dimension: DataFrame, facts: Mapping[str, DataFrame], summary: DataFrame, as_of: datetime | str
+    dimension: DataFrame,
+    facts: Mapping[str, DataFrame],
+    summary: DataFrame,
+    as_of: datetime | str,
+    newest_load: datetime | None = None,
 ) -> list[q.TableChecks]:
     """Checks of the dimension, the facts and the monthly summary, the four
-    special tests included."""
+    special tests included.  Facts and summary may be the months to check;
+    ``newest_load`` then tells the newest load of all months."""
     required = {
         "fct_stock_daily": ("stock_daily_sk", "symbol", "price_date"),
         "fct_bank_fundamentals": ("fundamentals_sk",),
@@ -97,7 +102,8 @@ def model_checks(
             "symbol_in_dimension": q.orphans(df, "symbol", dimension, "symbol"),
         }
         if name == "fct_stock_daily":
-            sets["loaded_recently"] = stale(df, as_of)
+            loads = df if newest_load is None else df.sparkSession.createDataFrame([(newest_load,)], "ingested_at timestamp")
+            sets["loaded_recently"] = stale(loads, as_of)
         checks.append(q.TableChecks(name, df, _not_null(*required[name]) | special_rows[name], sets))
     checks.append(
         q.TableChecks(
@@ -119,8 +125,16 @@ def mart_checks(
     start: date | str = DEFAULT_WINDOW[0],
     end: date | str = DEFAULT_WINDOW[1],
     years: tuple[int, ...] = (2024, 2025),
+    whole_mart: DataFrame | None = None,
+    all_prices: DataFrame | None = None,
 ) -> list[q.TableChecks]:
-    """14 declared and 11 special checks of the monthly mart."""
+    """14 declared and 11 special checks of the monthly mart.
+
+    ``curated_prices`` and ``mart`` may be the months to check; symbols are then looked for in
+    ``whole_mart``, years in ``all_prices``.
+    """
+    whole_mart = mart if whole_mart is None else whole_mart
+    all_prices = curated_prices if all_prices is None else all_prices
     in_scope = q.in_window(curated_prices, "price_date", start, end)
     required = [f.name for f in MONTHLY_MART_SCHEMA.fields if not f.nullable]
     mart_rows = _not_null(*required) | {
@@ -137,7 +151,7 @@ def mart_checks(
             DAILY_PRICE.curated_name,
             in_scope,
             {"ohlc_ordered_in_window": q.ohlc_disordered()},
-            {"every_year_present": q.missing_years(curated_prices, "price_date", start, end, years)},
+            {"every_year_present": q.missing_years(all_prices, "price_date", start, end, years)},
         ),
         q.TableChecks(
             MONTHLY_MART_NAME,
@@ -145,8 +159,8 @@ def mart_checks(
             mart_rows,
             {
                 "one_row_per_symbol_month": q.duplicates(mart, ["symbol", "year", "month"]),
-                "every_symbol_present": q.uncovered_symbols(curated_prices, mart, "price_date", start, end),
-                "filled_when_curated_is": q.empty_while_source_has_rows(in_scope, mart),
+                "every_symbol_present": q.uncovered_symbols(curated_prices, whole_mart, "price_date", start, end),
+                "filled_when_curated_is": q.empty_while_source_has_rows(in_scope, whole_mart),
             },
         ),
     ]

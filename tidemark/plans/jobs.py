@@ -6,7 +6,8 @@ repeat run makes harmless, and the watermark is committed last.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -18,12 +19,12 @@ from tidemark.operators import quality as q
 from tidemark.operators.fallback import hollow_primary, merge_sources
 from tidemark.operators.filters import accepted, require_constraints
 from tidemark.operators.history import HISTORY_COLUMNS, VALID_TO, history_schema, snapshot_changes
-from tidemark.operators.incremental import Decision, Plan, detect
+from tidemark.operators.incremental import Decision, Plan, decide
 from tidemark.operators.merging import last_write_per_key, replace_by_key
-from tidemark.operators.metrics import METRICS_SCHEMA, total_rows
+from tidemark.operators.metrics import METRICS_SCHEMA, union_all
 from tidemark.operators.versioning import latest_by_key
 from tidemark.plans import models
-from tidemark.plans.checks import mart_checks, model_checks
+from tidemark.plans.checks import mart_checks, model_checks, staging_checks
 from tidemark.plans.landing import Batch, arrival_order, batch_metrics, map_batch, skipped_rows
 from tidemark.registry import (
     BASIC_INFO,
@@ -44,11 +45,17 @@ from tidemark.registry import (
     TableSpec,
 )
 from tidemark.session import delete_scratch, scratch_path
+from tidemark.sources.contracts import require_contract
 from tidemark.sources.envelopes import ENVELOPE_SCHEMA, read_envelopes, with_arrival
-from tidemark.sources.lake import GENERATION, Lake, months_of, newer_than, only_months
+from tidemark.sources.lake import GENERATION, Lake, Part, months_of, newer_than, parse_instant
+from tidemark.sources.states import StateFolder
 from tidemark.sources.watermark import WatermarkStore
 
 _OTHER = "other"
+_PRICE_FACT = next(name for name, fact in FACTS.items() if fact.source is DAILY_PRICE)
+_PROFILE_STATE = f"{DIMENSION_NAME}_state"
+_MART_NAMES = f"{MONTHLY_MART_NAME}_names"
+_NAMES_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("symbol", "company_name")])
 
 
 @dataclass(frozen=True)
@@ -74,13 +81,12 @@ def split_by_dataset(spark: SparkSession, envelopes: DataFrame) -> tuple[DataFra
 
 
 def upsert_landing(lake: Lake, spec: TableSpec, rows: DataFrame) -> None:
-    """A7 on stored landing: only the months the batch touches are rewritten."""
-    lake.finish_swaps()
+    """A7 on stored landing: only the months the batch touches are read and rewritten."""
     incoming = last_write_per_key(rows, spec.key, arrival_order(spec)).select(*spec.columns)
-    months = months_of(rows, spec.date_column)
+    months = set(months_of(rows, spec.date_column))
     if not months:
         return
-    current = only_months(lake.landing(spec), months).select(*spec.columns)
+    current = lake.landing(spec, lambda part: part.month in months).select(*spec.columns)
     merged = replace_by_key(current, incoming, spec.key)
     lake.overwrite_months("landing", spec.name, merged, spec.date_column, spec.sort_columns)
 
@@ -125,139 +131,356 @@ def ingest_batch(lake: Lake, envelopes: DataFrame, batch: Batch) -> dict[str, Da
 # Landing to staging to curated --------------------------------------------
 
 
-def landing_tables(lake: Lake) -> dict[str, DataFrame]:
-    return {name: lake.landing(spec) for name, spec in TABLES.items()}
+def detect_new(lake: Lake, state: WatermarkStore, job: str) -> Plan:
+    """J1, J2 from the tables' states alone: no data file is opened and no Spark job runs."""
+    newest = [lake.newest("landing", name) for name in TABLES]
+    return decide(max(filter(None, newest), default=None), state.read(job), lambda: drift(lake))
 
 
-def detect_new(lake: Lake, state: WatermarkStore, job: str) -> Plan:
-    """J1, J2."""
-    lake.finish_swaps()
-    staged = {name: lake.staging(spec) for name, spec in TABLES.items()}
-    return detect(
-        list(landing_tables(lake).values()), state.read(job), lambda: total_rows(staged).first()["total_rows"]
-    )
+def _synced(lake: Lake, spec: TableSpec) -> StateFolder:
+    """Landing months (rows, digest) as they were when the layers below last held them whole."""
+    return StateFolder(lake.spark, f"{lake.path('staging', spec.staging_name)}/_synced")
+
+
+def drift(lake: Lake) -> dict[str, set[int]]:
+    """Months that landing changed without a newer cursor (late rows), or whose staged or
+    curated rows are gone, found by comparing digests and folders."""
+    found = {}
+    for name, spec in TABLES.items():
+        landed = {m: [rows, digest] for m, (rows, digest, _) in lake.months("landing", name).items()}
+        synced = _synced(lake, spec).latest()[1]
+        months = {m for m, seen in landed.items() if synced.get(str(m)) != seen}
+        for layer, stored in (("staging", spec.staging_name), ("curated", spec.curated_name)):
+            months |= {p.month for p in lake.missing_parts(layer, stored)}
+            months |= set(landed) - set(lake.months(layer, stored))
+        found[name] = months
+    return found
+
+
+def _record_synced(lake: Lake, spec: TableSpec, landed: Mapping[int, tuple], months: Collection[int]) -> None:
+    states = _synced(lake, spec)
+    number, known = states.latest()
+    fresh = {str(m): list(landed[m][:2]) for m in months if m in landed}
+    if fresh:
+        states.commit(number + 1, known | fresh)
 
 
-def refresh_curated(lake: Lake, spec: TableSpec, months: Sequence[int], increment: DataFrame | None = None) -> None:
+def refresh_curated(lake: Lake, spec: TableSpec, months: Collection[int], increment: Sequence[Part] | None = None) -> None:
     """Newest version per key, for the months that changed.
 
     The key contains the date, so a key never leaves its month and untouched
-    months are already right.  The order of versions is total, so with the rows
+    months are already right.  The order of versions is total, so with the parts
     just staged as ``increment`` the newest of curated and increment is the newest
     of all versions, and the cost doesn't grow with the versions staged before.
     """
     if not months:
         return
-    lake.finish_swaps()
+    here = set(months)
     if increment is None:
-        versions = only_months(lake.staging(spec), list(months)).select(*spec.columns)
+        versions = lake.staging(spec, lambda part: part.month in here).select(*spec.columns)
     else:
-        current = only_months(lake.curated(spec), list(months)).select(*spec.columns)
-        versions = current.unionByName(models.staging_rows(increment, spec).select(*spec.columns))
+        staged = lake.read_parts("staging", spec.staging_name, spec.stored_schema, increment)
+        current = lake.curated(spec, lambda part: part.month in here)
+        versions = current.select(*spec.columns).unionByName(staged.select(*spec.columns))
     newest = latest_by_key(versions, spec.key, VERSION_ORDER)
     lake.overwrite_months("curated", spec.curated_name, newest, spec.date_column, spec.sort_columns)
 
 
-def stage_increment(lake: Lake, spec: TableSpec, increment: DataFrame) -> list[int]:
-    """Append typed rows; returns the months they fall in."""
-    months = months_of(increment, spec.date_column)
-    if months:
-        lake.append_staging(spec, models.staging_rows(increment, spec))
-    return months
+def stage_increment(lake: Lake, spec: TableSpec, increment: DataFrame) -> list[Part]:
+    """Append typed rows; returns what was stored.  The increment is read once."""
+    return lake.append_staging(spec, models.staging_rows(increment, spec))
 
 
 def sync_increment(lake: Lake, start_after: datetime) -> dict[str, list[int]]:
-    """Pull rows after the watermark, append them, rebuild what they touch."""
-    lake.finish_swaps()
+    """Pull rows after the watermark, append them, rebuild what they touch.
+
+    Landing months without a newer cursor are not opened.
+    """
     touched = {}
     for name, spec in TABLES.items():
-        increment = newer_than(lake.landing(spec), start_after)
-        touched[name] = stage_increment(lake, spec, increment)
-        refresh_curated(lake, spec, touched[name], increment)
+        touched[name] = []
+        landed = lake.months("landing", name)
+        newer = lake.landing(spec, lambda part: part.newer_than(start_after))
+        if not any(p.newer_than(start_after) for p in lake.parts("landing", name)):
+            continue
+        staged = stage_increment(lake, spec, newer_than(newer, start_after))
+        touched[name] = sorted({p.month for p in staged})
+        refresh_curated(lake, spec, touched[name], staged)
+        # A month whose landing holds rows that were not pulled stays unrecorded, and is found by the next poll.
+        curated = lake.months("curated", spec.curated_name)
+        whole = [m for m in touched[name] if curated.get(m, ())[:2] == landed[m][:2]]
+        _record_synced(lake, spec, landed, whole)
     return touched
 
 
-def rebuild_curated(lake: Lake) -> None:
-    """A6 in full: all months of all tables."""
-    lake.finish_swaps()
-    for spec in TABLES.values():
-        refresh_curated(lake, spec, months_of(lake.staging(spec), spec.date_column))
+def resync_months(lake: Lake, drifted: Mapping[str, Collection[int]]) -> dict[str, list[int]]:
+    """Stage the landed rows that some months lack, then rebuild those months from staging."""
+    for name, months in drifted.items():
+        spec, here = TABLES[name], set(months)
+        landed = lake.months("landing", name)
+        for layer, stored in (("staging", spec.staging_name), ("curated", spec.curated_name)):
+            lake.forget(layer, stored, lake.missing_parts(layer, stored))
+        in_months = lambda part: part.month in here  # noqa: B023, E731
+        rows = models.staging_rows(lake.landing(spec, in_months), spec)
+        known = lake.staging(spec, in_months).select(*spec.key, *VERSION_ORDER)
+        lake.append_staging(spec, rows.join(known, [*spec.key, *VERSION_ORDER], "left_anti"))
+        refresh_curated(lake, spec, here)
+        _record_synced(lake, spec, landed, here)
+    return {name: sorted(drifted.get(name, ())) for name in TABLES}
 
 
-def compact_staging(lake: Lake, spec: TableSpec, months: Sequence[int]) -> None:
+def compact_staging(lake: Lake, spec: TableSpec, months: Collection[int]) -> None:
     """Keep only the newest version of each staged key in some months."""
     if not months:
         return
-    lake.finish_swaps()
-    versions = only_months(lake.staging(spec), list(months)).select(*spec.columns)
+    here = set(months)
+    versions = lake.staging(spec, lambda part: part.month in here).select(*spec.columns)
     newest = latest_by_key(versions, spec.key, VERSION_ORDER)
     lake.overwrite_months("staging", spec.staging_name, newest, spec.date_column, spec.sort_columns)
 
 
+def crowded_months(lake: Lake, spec: TableSpec, versions_per_key: float = 4, parts: int = 32) -> list[int]:
+    """Months whose staged rows are over so many times their keys, or lie in over so many parts; from states."""
+    keys = {m: rows for m, (rows, *_) in lake.months("curated", spec.curated_name).items()}
+    folders = Counter(p.month for p in lake.parts("staging", spec.staging_name))
+    stored = lake.months("staging", spec.staging_name)
+    return sorted(
+        m for m, (rows, *_) in stored.items() if rows > versions_per_key * keys.get(m, rows) or folders[m] > parts
+    )
+
+
 def landing_to_curated(lake: Lake, plan: Plan) -> dict[str, int]:
-    """P2 with its gate."""
-    sync_increment(lake, plan.start_after)
-    return q.gate_landing_to_curated(lake.landing(DAILY_PRICE), lake.curated(DAILY_PRICE))
+    """P2 with its gate (K19), then compaction of the months that need it."""
+    if plan.drifted:
+        resync_months(lake, plan.drifted)
+    else:
+        sync_increment(lake, plan.start_after)
+    counts = {
+        "landing_rows": lake.row_count("landing", DAILY_PRICE.name),
+        "curated_rows": lake.row_count("curated", DAILY_PRICE.curated_name),
+    }
+    q.gate_rows(counts, "landing_rows", "curated_rows", "landing has rows but curated is empty")
+    for spec in TABLES.values():
+        compact_staging(lake, spec, crowded_months(lake, spec))
+    return counts
 
 
 # Relational models --------------------------------------------------------
 
 
-def staging_views(lake: Lake) -> dict[str, DataFrame]:
-    views = {name: models.staging_view(lake.landing(spec), spec) for name, spec in TABLES.items()}
+def staging_views(lake: Lake, keep: Callable[[Part], bool] | None = None) -> dict[str, DataFrame]:
+    """B14 on stored landing, whole or the parts that ``keep`` picks."""
+    return {name: models.staging_view(lake.landing(spec, keep), spec) for name, spec in TABLES.items()}
+
+
+def register_views(lake: Lake) -> dict[str, DataFrame]:
+    """The five staging views under their names."""
+    views = staging_views(lake)
     for name, view in views.items():
         Lake.create_view(view, TABLES[name].staging_name)
     return views
 
 
-def refresh_dimension(lake: Lake, views: dict[str, DataFrame], built_at: datetime) -> DataFrame:
-    """The recomputed dimension replaces its keys; keys gone from the sources stay."""
+def refresh_dimension(
+    lake: Lake, views: Mapping[str, DataFrame], built_at: datetime, newest: datetime | None = None, merge: bool = False
+) -> DataFrame:
+    """The dimension from its state; keys gone from the sources stay.
+
+    With ``merge``, ``views`` hold only rows since the state's newest cursor, which are merged
+    with the stored state; else they are all rows, and the state is made anew (the repair path).
+    """
+    state = models.profile_state(views)
+    if merge:
+        state = models.merged_profile_state(lake.published(_PROFILE_STATE, models.PROFILE_STATE_SCHEMA), state)
+    lake.publish(_PROFILE_STATE, state, ("symbol",), {"newest": newest.isoformat()} if newest else None)
+    fresh = models.dimension_of(lake.published(_PROFILE_STATE, models.PROFILE_STATE_SCHEMA), built_at)
     current = lake.published(DIMENSION_NAME, DIMENSION_SCHEMA)
-    fresh = models.dimension(views, built_at)
     lake.publish(DIMENSION_NAME, replace_by_key(current, fresh, ["symbol"]), ("symbol",))
     return lake.published(DIMENSION_NAME, DIMENSION_SCHEMA)
 
 
-def refresh_fact(lake: Lake, name: str, view: DataFrame) -> DataFrame:
-    """J5 on stored facts: months of the new rows are rewritten."""
-    lake.finish_swaps()
+def dimension_increment(lake: Lake, built_at: datetime, again: bool = False) -> DataFrame:
+    """Refresh the dimension from the landing parts that are not older than its state."""
+    newest = max(filter(None, (lake.newest("landing", name) for name in TABLES)), default=None)
+    known = lake.note(_PROFILE_STATE).get("newest")
+    if again or not known:
+        return refresh_dimension(lake, staging_views(lake), built_at, newest)
+    since = parse_instant(known)
+    views = staging_views(lake, lambda part: part.newest is not None and part.newest >= since)
+    increment = {name: view.where(F.col("ingested_at") >= F.lit(since)) for name, view in views.items()}
+    return refresh_dimension(lake, increment, built_at, newest, merge=True)
+
+
+def refresh_fact(lake: Lake, name: str, again: Collection[int] = ()) -> set[int]:
+    """J5, C8 on stored facts: rows not older than the fact's own newest cursor, which its state holds, replace
+    their keys; months in ``again`` are taken whole.  Only those months of landing and fact are opened."""
     fact = FACTS[name]
-    schema = models.fact_stored_schema(fact)
-    current = lake.fact(name, schema)
-    fresh = models.fact_rows(models.since_own_maximum(view, current), fact)
-    date_column = fact.source.date_column
-    months = months_of(fresh, date_column)
+    spec, since = fact.source, lake.newest("facts", name)
+    parts = [
+        p for p in lake.parts("landing", spec.name)
+        if since is None or p.month in again or (p.newest is not None and p.newest >= since)
+    ]
+    months = {p.month for p in parts}
+    if not months:
+        return months
+    rows = lake.read_parts("landing", spec.name, spec.stored_schema, parts)
+    if since is not None:
+        rows = rows.where((F.col("ingested_at") >= F.lit(since)) | F.col(PARTITION_COLUMN).isin(list(again)))
+    fresh = models.fact_rows(models.staging_view(rows, spec), fact)
+    current = lake.fact(name, models.fact_stored_schema(fact), lambda part: part.month in months)
+    merged = replace_by_key(current.drop(PARTITION_COLUMN), fresh, [fact.surrogate])
+    lake.overwrite_months("facts", name, merged, spec.date_column, spec.sort_columns)
+    return months
+
+
+def read_fact(lake: Lake, name: str, months: Collection[int] | None = None) -> DataFrame:
+    keep = None if months is None else lambda part: part.month in months
+    return lake.fact(name, models.fact_stored_schema(FACTS[name]), keep).drop(PARTITION_COLUMN)
+
+
+def _changed(lake: Lake, layer: str, source: str, built: Mapping[str, list[int]]) -> set[int]:
+    """Months of a table that were written since ``built`` was recorded, months gone included."""
+    now = lake.versions(layer, source)
+    return {int(m) for m in now.keys() | built.keys() if now.get(m) != built.get(m)}
+
+
+def refresh_summary(lake: Lake) -> DataFrame:
+    """E2 for the months whose prices were written since the last run; the others stay."""
+    built = lake.built("marts", MONTHLY_SUMMARY_NAME)
+    number, of = built.latest()
+    versions = lake.versions("facts", _PRICE_FACT)
+    months = _changed(lake, "facts", _PRICE_FACT, of)
     if months:
-        kept = only_months(current, months).select(*fresh.columns)
-        merged = replace_by_key(kept, fresh, [fact.surrogate])
-        lake.overwrite_months("facts", name, merged, date_column, fact.source.sort_columns)
-    return lake.fact(name, schema).drop(PARTITION_COLUMN)
+        rows = models.monthly_summary(read_fact(lake, _PRICE_FACT, months))
+        lake.overwrite_months("marts", MONTHLY_SUMMARY_NAME, rows, "month_date", ("symbol", "month_date"), months)
+        built.commit(number + 1, versions)
+    return lake.monthly(MONTHLY_SUMMARY_NAME, MONTHLY_SUMMARY_SCHEMA)
 
 
-def build_models(lake: Lake, built_at: datetime, as_of: datetime | None = None) -> list[dict]:
-    """Views, dimension, facts, monthly summary, then all their checks."""
-    lake.finish_swaps()
-    views = staging_views(lake)
-    dimension = refresh_dimension(lake, views, built_at)
-    facts = {name: refresh_fact(lake, name, views[fact.source.name]) for name, fact in FACTS.items()}
-    lake.publish(MONTHLY_SUMMARY_NAME, models.monthly_summary(facts["fct_stock_daily"]), ("symbol", "month_date"))
-    summary = lake.published(MONTHLY_SUMMARY_NAME, MONTHLY_SUMMARY_SCHEMA)
-    return q.require_clean(q.run_suite(model_checks(dimension, facts, summary, as_of or built_at)))
+def check_models(lake: Lake, as_of: datetime) -> list[dict]:
+    """All checks of dimension, facts and summary over the months written since they last passed.
+
+    A month that passed and was not written since has no violations still: keys hold the date,
+    so none repeats in another month, and symbols never leave the dimension.
+    """
+    tables = [("facts", name) for name in FACTS] + [("marts", MONTHLY_SUMMARY_NAME)]
+    passed = {name: lake.built("checks", name) for _, name in tables}
+    now = {name: lake.versions(layer, name) for layer, name in tables}
+    months = {name: _changed(lake, layer, name, passed[name].latest()[1]) for layer, name in tables}
+    dimension = lake.published(DIMENSION_NAME, DIMENSION_SCHEMA)
+    facts = {name: read_fact(lake, name, months[name]) for name in FACTS}
+    checked = months[MONTHLY_SUMMARY_NAME]
+    summary = lake.monthly(MONTHLY_SUMMARY_NAME, MONTHLY_SUMMARY_SCHEMA, lambda part: part.month in checked)
+    suite = model_checks(dimension, facts, summary, as_of, lake.newest("facts", _PRICE_FACT))
+    results = q.require_clean(q.run_suite(suite))
+    for name, states in passed.items():
+        if months[name]:
+            states.commit(states.latest()[0] + 1, now[name])
+    return results
+
+
+def check_staging(lake: Lake) -> list[dict]:
+    """A13, K1, K3 before the models: the contract of landing, then the staging checks of the months written since they passed."""
+    require_contract({name: lake.landing(spec) for name, spec in TABLES.items()}, {n: s.schema for n, s in TABLES.items()})
+    passed = {name: lake.built("checks", spec.staging_name) for name, spec in TABLES.items()}
+    now = {name: lake.versions("landing", name) for name in TABLES}
+    months = {name: _changed(lake, "landing", name, passed[name].latest()[1]) for name in TABLES}
+    views = {
+        name: models.staging_view(lake.landing(spec, lambda part, name=name: part.month in months[name]), spec)
+        for name, spec in TABLES.items()
+    }
+    results = q.require_clean(q.run_suite(staging_checks(views)))
+    for name, states in passed.items():
+        if months[name]:
+            states.commit(states.latest()[0] + 1, now[name])
+    return results
+
+
+def build_models(
+    lake: Lake, built_at: datetime, as_of: datetime | None = None, again: Mapping[str, Collection[int]] | None = None
+) -> list[dict]:
+    """Views, staging checks, dimension, facts, monthly summary, then all their checks.
+
+    ``again`` names landing months whose rows may be older than what the models hold.
+    """
+    again = again or {}
+    register_views(lake)
+    results = check_staging(lake)
+    dimension_increment(lake, built_at, bool(again))
+    for name, fact in FACTS.items():
+        refresh_fact(lake, name, again.get(fact.source.name, ()))
+    refresh_summary(lake)
+    return results + check_models(lake, as_of or built_at)
 
 
 # Monthly mart -------------------------------------------------------------
 
 
+def refresh_mart(lake: Lake, loaded_at: datetime, window: Window = Window()) -> set[int]:
+    """E1, E3 for the months of the window whose prices were written since the last run, and new
+    names in the other months of symbols whose name changed; returns those months.
+
+    Another window than the last run's builds all months.
+    """
+    built = lake.built("marts", MONTHLY_MART_NAME)
+    number, last = built.latest()
+    bounds = [window.start, window.end]
+    first, end = (int(b[:4]) * 100 + int(b[5:7]) for b in bounds)
+    price, profile = DAILY_PRICE.curated_name, BASIC_INFO.curated_name
+    versions = {m: w for m, w in lake.versions("curated", price).items() if first <= int(m) <= end}
+    known = last.get("prices", {}) if last.get("window") == bounds else {}
+    months = {int(m) for m in versions.keys() | known.keys() if versions.get(m) != known.get(m)}
+    if last.get("window") != bounds:
+        months |= {p.month for p in lake.parts("marts", MONTHLY_MART_NAME)}
+    profiles = lake.versions("curated", profile)
+    renamed, names = set(), lake.published(_MART_NAMES, _NAMES_SCHEMA)
+    if profiles != last.get("profiles"):
+        lake.publish(_MART_NAMES, models.newest_names(lake.curated(BASIC_INFO)), ("symbol",))
+        before, names = names, lake.published(_MART_NAMES, _NAMES_SCHEMA)
+        same = F.col("new.symbol").eqNullSafe(F.col("old.symbol")) & F.col("new.company_name").eqNullSafe(F.col("old.company_name"))
+        changed = names.alias("new").join(before.alias("old"), same, "left_anti")
+        other = lake.monthly(MONTHLY_MART_NAME, MONTHLY_MART_SCHEMA, lambda part: part.month not in months)
+        renamed = set(months_of(other.join(changed, "symbol", "left_semi"), "month_start_date"))
+    rows = []
+    if months:
+        prices = lake.curated(DAILY_PRICE, lambda part: part.month in months)
+        rows.append(models.named_months(prices, names, loaded_at, *bounds))
+    if renamed:
+        mart = lake.monthly(MONTHLY_MART_NAME, MONTHLY_MART_SCHEMA, lambda part: part.month in renamed)
+        rows.append(models.renamed_months(mart, changed, loaded_at))
+    if rows:
+        whole = union_all(rows)
+        lake.overwrite_months(
+            "marts", MONTHLY_MART_NAME, whole, "month_start_date", ("symbol", "year", "month"), months | renamed
+        )
+    built.commit(number + 1, {"window": bounds, "prices": versions, "profiles": profiles})
+    return months | renamed
+
+
 def build_mart(lake: Lake, loaded_at: datetime, window: Window = Window()) -> list[dict]:
-    """Mart, its checks and its gate."""
-    lake.finish_swaps()
-    prices, profiles = lake.curated(DAILY_PRICE), lake.curated(BASIC_INFO)
-    mart = models.monthly_mart(prices, profiles, loaded_at, window.start, window.end)
-    lake.publish(MONTHLY_MART_NAME, mart, ("symbol", "year", "month"))
-    built = lake.published(MONTHLY_MART_NAME, MONTHLY_MART_SCHEMA)
-    report = q.run_suite(mart_checks(prices, built, window.start, window.end, window.years))
-    results = q.require_clean(report)
-    q.gate_curated_to_mart(prices, built, "price_date", window.start, window.end)
+    """Mart, its checks and its gate.
+
+    Checks run over the months that changed since they last passed, against the whole mart where
+    they look for symbols; years are looked for in all months.
+    """
+    passed = lake.built("checks", MONTHLY_MART_NAME)
+    refresh_mart(lake, loaded_at, window)
+    number, last = passed.latest()
+    bounds = [window.start, window.end]
+    known = last.get("mart", {}) if last.get("window") == bounds else {}
+    versions = lake.versions("marts", MONTHLY_MART_NAME)
+    months = _changed(lake, "marts", MONTHLY_MART_NAME, known) | _changed(
+        lake, "curated", DAILY_PRICE.curated_name, last.get("prices", {}) if last.get("window") == bounds else {}
+    )
+    here = lambda part: part.month in months
+    prices = lake.curated(DAILY_PRICE, here)
+    mart, whole = (lake.monthly(MONTHLY_MART_NAME, MONTHLY_MART_SCHEMA, keep) for keep in (here, None))
+    results = q.require_clean(
+        q.run_suite(mart_checks(prices, mart, *bounds, window.years, whole, lake.curated(DAILY_PRICE)))
+    )
+    q.gate_curated_to_mart(lake.curated(DAILY_PRICE), whole, "price_date", *bounds)
+    if months:
+        passed.commit(number + 1, {"window": bounds, "mart": versions, "prices": lake.versions("curated", DAILY_PRICE.curated_name)})
     return results
 
 
@@ -271,7 +494,7 @@ def refresh_from_landing(
     plan = detect_new(lake, state, job)
     if plan.decision in (Decision.EMPTY, Decision.SKIP):
         return plan.decision
-    build_models(lake, run_at)
+    build_models(lake, run_at, again=plan.drifted)
     landing_to_curated(lake, plan)
     build_mart(lake, run_at, window)
     state.commit(job, plan.latest)

@@ -41,6 +41,15 @@ _FILLED = ("company_name", "industry", "sector", "city", "country", "source_syst
 _NO_DATE = "1900-01-01"
 
 
+#: Newest activity of a symbol, and its newest profile where it has one.
+PROFILE_STATE_SCHEMA = T.StructType(
+    [
+        T.StructField("latest_ingested_at", T.TimestampType()),
+        *[T.StructField(f.name, f.dataType) for f in BASIC_INFO.schema.fields],
+    ]
+)
+
+
 def canonical_holder_type(c: Column | str) -> Column:
     kind = F.lower(c)
     return F.when(kind == "fund", F.lit("mutual_fund")).otherwise(kind)
@@ -76,11 +85,10 @@ def staging_rows(landing: DataFrame, spec: TableSpec) -> DataFrame:
     return landing.select(*columns)
 
 
-def dimension(views: Mapping[str, DataFrame], built_at: datetime | str | None = None) -> DataFrame:
-    """One row per symbol seen in any table.
+def profile_state(views: Mapping[str, DataFrame]) -> DataFrame:
+    """Newest activity and newest profile of each symbol seen in any table.
 
-    ``views`` maps the five table names to their staging views.  The newest
-    profile is attached where one exists; text is filled with ``UNKNOWN``.
+    ``views`` maps the five table names to their staging views, whole or an increment of them.
     """
     frames = [views[name] for name in TABLES]
     universe_with_activity = latest_activity(frames)  # has exactly the non-null symbols of H1
@@ -89,14 +97,42 @@ def dimension(views: Mapping[str, DataFrame], built_at: datetime | str | None =
         ["symbol"],
         ["snapshot_date", "ingested_at"],
     )
-    joined = attach(universe_with_activity, latest, "symbol")
+    return attach(universe_with_activity, latest, "symbol").select(*PROFILE_STATE_SCHEMA.fieldNames())
+
+
+def merged_profile_state(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The state of all rows from the state of the older ones and that of an increment.
+
+    Both sides have one row per symbol.  Rows only ever become newer, so the newest activity
+    and the newest profile are among the two.
+    """
+    both = old.alias("old").join(new.alias("new"), F.col("old.symbol") == F.col("new.symbol"), "full_outer")
+    rank = lambda side: F.struct(F.col(f"{side}.snapshot_date"), F.col(f"{side}.ingested_at"))
+    newer = F.col("new.snapshot_date").isNotNull() & (
+        F.col("old.snapshot_date").isNull() | (rank("new") >= rank("old"))
+    )
+    merged = {
+        "symbol": F.coalesce("new.symbol", "old.symbol"),
+        "latest_ingested_at": F.greatest("new.latest_ingested_at", "old.latest_ingested_at"),
+    }
+    pick = lambda c: F.when(newer, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}"))
+    return both.select(*[merged.get(c, pick(c)).alias(c) for c in PROFILE_STATE_SCHEMA.fieldNames()])
+
+
+def dimension_of(state: DataFrame, built_at: datetime | str | None = None) -> DataFrame:
+    """One row per symbol; text without a profile is ``UNKNOWN``."""
     now = F.lit(parse_instant(built_at)) if built_at else F.current_timestamp()
     filled = {name: F.coalesce(name, F.lit(UNKNOWN)) for name in _FILLED}
     filled["snapshot_date"] = F.coalesce(
         "snapshot_date", F.col("latest_ingested_at").cast("date"), F.lit(_NO_DATE).cast("date")
     )
     filled["ingested_at"] = F.coalesce("ingested_at", "latest_ingested_at", now)
-    return joined.select(*[filled.get(c, F.col(c)).alias(c) for c in DIMENSION_SCHEMA.fieldNames()])
+    return state.select(*[filled.get(c, F.col(c)).alias(c) for c in DIMENSION_SCHEMA.fieldNames()])
+
+
+def dimension(views: Mapping[str, DataFrame], built_at: datetime | str | None = None) -> DataFrame:
+    """One row per symbol seen in any table."""
+    return dimension_of(profile_state(views), built_at)
 
 
 def symbol_universe(views: Mapping[str, DataFrame]) -> DataFrame:
@@ -124,6 +160,11 @@ def refreshed_fact(current: DataFrame, view: DataFrame, fact: FactSpec) -> DataF
     return replace_by_key(current.select(*fresh.columns), fresh, [fact.surrogate])
 
 
+def newest_names(profiles: DataFrame) -> DataFrame:
+    """The newest known company name per symbol."""
+    return newest_value(profiles, ["symbol"], "company_name", ["ingested_at", "snapshot_date"])
+
+
 def monthly_mart(
     prices: DataFrame,
     profiles: DataFrame,
@@ -131,7 +172,18 @@ def monthly_mart(
     start: date | str = DEFAULT_WINDOW[0],
     end: date | str = DEFAULT_WINDOW[1],
 ) -> DataFrame:
-    """Monthly figures per symbol from accepted days of the window.
+    """Monthly figures per symbol from accepted days of the window."""
+    return named_months(prices, newest_names(profiles), loaded_at, start, end)
+
+
+def named_months(
+    prices: DataFrame,
+    names: DataFrame,
+    loaded_at: datetime | str,
+    start: date | str = DEFAULT_WINDOW[0],
+    end: date | str = DEFAULT_WINDOW[1],
+) -> DataFrame:
+    """E1 with given names, one row per symbol.
 
     Names depend only on the symbol, so they are attached after the months are
     aggregated: the join sees one row per symbol and month instead of one per
@@ -149,17 +201,30 @@ def monthly_mart(
         F.max("price_date").alias("max_price_date"),
         F.count(F.lit(1)).alias("source_row_count"),
     )
-    names = newest_value(profiles, ["symbol"], "company_name", ["ingested_at", "snapshot_date"])
     dated = attach(monthly, names, "symbol").select(
         "*",
         F.year("month_start_date").alias("year"),
         F.month("month_start_date").alias("month"),
         month_end("month_start_date").alias("month_end_date"),
-        truncate_to_millis(F.lit(parse_instant(loaded_at))).alias("loaded_at"),
+        loaded_instant(loaded_at).alias("loaded_at"),
     )
     return dated.select(*MONTHLY_MART_SCHEMA.fieldNames())
 
 
+def loaded_instant(loaded_at: datetime | str) -> Column:
+    return truncate_to_millis(F.lit(parse_instant(loaded_at)))
+
+
+def renamed_months(mart: DataFrame, changed: DataFrame, loaded_at: datetime | str) -> DataFrame:
+    """Mart rows with the names of ``changed(symbol, company_name)``; its symbols' rows count as loaded now."""
+    new = changed.select("symbol", F.col("company_name").alias("_name"), F.lit(True).alias("_renamed"))
+    values = {
+        "company_name": F.when(F.col("_renamed"), F.col("_name")).otherwise(F.col("company_name")),
+        "loaded_at": F.when(F.col("_renamed"), loaded_instant(loaded_at)).otherwise(F.col("loaded_at")),
+    }
+    return mart.join(new, "symbol", "left").select(*[values.get(c, F.col(c)).alias(c) for c in MONTHLY_MART_SCHEMA.fieldNames()])
+
+
 def monthly_summary(prices: DataFrame) -> DataFrame:
     """Three monthly averages per symbol, no window."""
     averages = {

@@ -1,32 +1,51 @@
 """Tables on shared storage.
 
-Large tables are parquet directories partitioned by the month of their key
-date, so an update rewrites only the months it touches.  Small derived tables
-(dimension, marts, history) are published as numbered generations: a new
-generation is written beside the old one and a commit row makes it current, so
-readers never see a half-written table and a lost job leaves the old one.
+Large tables are parquet folders by write and month of the key date, so an update rewrites only
+the months it touches.  Rows are written once, into the folder of their write; a state file then
+makes all its months current at once, and holds for each of them its rows, its newest cursor and
+a digest, so that a poll needs no data file.  Readers open the folders that the state names:
+they see a month before or after a write, never without its rows.  Small derived tables
+(dimension, marts, history) are numbered generations, each made current by a state file too.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.scalars import check_window, year_month
+from tidemark.functions.scalars import check_window, truncate_to_millis, year_month
 from tidemark.registry import PARTITION_COLUMN, TableSpec
+from tidemark.sources.states import StateFolder
 
-_COMMIT_SCHEMA = T.StructType(
-    [
-        T.StructField("generation", T.LongType()),
-        T.StructField("committed_at", T.TimestampType()),
-    ]
-)
 GENERATION = "generation"
-#: In a folder of rows that wait for their swap: all of them are written.  Readers skip names with an underscore.
-_WHOLE = "_whole"
+_WRITE = "write"
+_CURSOR = "ingested_at"
+
+
+@dataclass(frozen=True)
+class Part:
+    """The rows that one write gave one month."""
+
+    month: int
+    write: int
+    rows: int
+    newest: datetime | None = None
+    #: Of keys and cursors, whatever their order; parts of a month are combined with ``^``.
+    digest: int = 0
+
+    def newer_than(self, instant: datetime) -> bool:
+        return self.newest is not None and self.newest > instant
+
+    def to_state(self) -> list:
+        return [self.month, self.write, self.rows, self.newest and self.newest.isoformat(), self.digest]
+
+    @staticmethod
+    def of_state(entry: list) -> Part:
+        month, write, rows, newest, digest = entry
+        return Part(month, write, rows, newest and parse_instant(newest), digest)
 
 
 def with_month(df: DataFrame, date_column: str) -> DataFrame:
@@ -89,27 +108,67 @@ class Lake:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
-    def _read(self, path: str, schema: T.StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
+    # Month-partitioned tables -------------------------------------------------
+
+    def _states(self, layer: str, name: str) -> StateFolder:
+        return StateFolder(self.spark, f"{self.path(layer, name)}/_states")
+
+    def parts(self, layer: str, name: str) -> list[Part]:
+        """What the table holds now, from its state: no data file is read."""
+        return [Part.of_state(entry) for entry in self._states(layer, name).latest()[1].get("parts", [])]
+
+    def newest(self, layer: str, name: str) -> datetime | None:
+        """The newest cursor of a table, from its state."""
+        return max((p.newest for p in self.parts(layer, name) if p.newest), default=None)
+
+    def row_count(self, layer: str, name: str) -> int:
+        """Stored rows of a table, from its state."""
+        return sum(p.rows for p in self.parts(layer, name))
+
+    def months(self, layer: str, name: str) -> dict[int, tuple[int, int, datetime | None]]:
+        """Rows, digest and newest cursor per month, from the table's state."""
+        found: dict[int, tuple[int, int, datetime | None]] = {}
+        for p in self.parts(layer, name):
+            rows, digest, newest = found.get(p.month, (0, 0, None))
+            found[p.month] = (rows + p.rows, digest ^ p.digest, max(filter(None, (newest, p.newest)), default=None))
+        return found
+
+    def _open(self, layer: str, name: str, schema: T.StructType, keep: Callable[[Part], bool] | None) -> DataFrame:
+        return self.read_parts(layer, name, schema, [p for p in self.parts(layer, name) if keep is None or keep(p)])
+
+    def read_parts(self, layer: str, name: str, schema: T.StructType, parts: Sequence[Part]) -> DataFrame:
+        if not parts:
             return self.spark.createDataFrame([], schema)
+        root = self.path(layer, name)
+        reader = self.spark.read.schema(schema).option("basePath", root)
+        folders = [self._folder(layer, name, p) for p in parts]
+        return reader.parquet(*folders).select(*schema.fieldNames())
 
-    # Month-partitioned tables -------------------------------------------------
+    def _folder(self, layer: str, name: str, part: Part) -> str:
+        return f"{self.path(layer, name)}/{_WRITE}={part.write}/{PARTITION_COLUMN}={part.month}"
+
+    def landing(self, spec: TableSpec, keep: Callable[[Part], bool] | None = None) -> DataFrame:
+        """``keep`` picks the parts to open by their state, before any file is listed."""
+        return self._open("landing", spec.name, spec.stored_schema, keep)
+
+    def staging(self, spec: TableSpec, keep: Callable[[Part], bool] | None = None) -> DataFrame:
+        return self._open("staging", spec.staging_name, spec.stored_schema, keep)
 
-    def landing(self, spec: TableSpec) -> DataFrame:
-        return self._read(self.path("landing", spec.name), spec.stored_schema)
+    def curated(self, spec: TableSpec, keep: Callable[[Part], bool] | None = None) -> DataFrame:
+        return self._open("curated", spec.curated_name, spec.stored_schema, keep)
 
-    def staging(self, spec: TableSpec) -> DataFrame:
-        return self._read(self.path("staging", spec.staging_name), spec.stored_schema)
+    def fact(self, name: str, schema: T.StructType, keep: Callable[[Part], bool] | None = None) -> DataFrame:
+        """Parts written under other columns read as the schema says: absent ones null, dropped ones gone."""
+        return self._open("facts", name, schema, keep)
 
-    def curated(self, spec: TableSpec) -> DataFrame:
-        return self._read(self.path("curated", spec.curated_name), spec.stored_schema)
+    def monthly(self, name: str, schema: T.StructType, keep: Callable[[Part], bool] | None = None) -> DataFrame:
+        """A monthly table: its rows without the partition column."""
+        return self._open("marts", name, self.stored(schema), keep).drop(PARTITION_COLUMN)
 
-    def fact(self, name: str, schema: T.StructType) -> DataFrame:
-        return self._read(self.path("facts", name), schema)
+    @staticmethod
+    def stored(schema: T.StructType) -> T.StructType:
+        """A schema with the month partition behind it."""
+        return T.StructType([*schema.fields, T.StructField(PARTITION_COLUMN, T.IntegerType())])
 
     def _month_writer(self, df: DataFrame, sort_columns: tuple[str, ...]):
         """Rebalanced and clustered rows, one set of files per month.
@@ -124,104 +183,143 @@ class Lake:
             .write.partitionBy(PARTITION_COLUMN)
         )
 
-    def append_staging(self, spec: TableSpec, rows: DataFrame) -> None:
+    def append_staging(self, spec: TableSpec, rows: DataFrame) -> list[Part]:
         """A5: append versions to the month-partitioned staging table."""
-        staged = with_month(rows.select(*spec.columns), spec.date_column)
-        self._month_writer(staged, spec.sort_columns).mode("append").parquet(
-            self.path("staging", spec.staging_name)
-        )
+        return self._write("staging", spec.staging_name, rows.select(*spec.columns), spec.date_column, spec.sort_columns, False)
 
     def overwrite_months(
-        self, layer: str, name: str, rows: DataFrame, date_column: str, sort_columns: tuple[str, ...]
-    ) -> None:
-        """Replace exactly the months present in ``rows``; other months stay.
+        self, layer: str, name: str, rows: DataFrame, date_column: str, sort_columns: tuple[str, ...],
+        months: Collection[int] = (),
+    ) -> list[Part]:
+        """Replace exactly the months present in ``rows``, and ``months`` even where no row is left; others stay.
 
-        ``rows`` may be derived from the same table: they are written beside it first, and a
-        marker says that they are whole.  The swap deletes a month before it renames the new
-        one; if it breaks, :meth:`finish_swaps` repeats it from that copy.
+        ``rows`` may be derived from the same table: the folders it reads stay until two
+        writes later.
         """
-        self.finish_swaps()
         columns = [c for c in rows.columns if c != PARTITION_COLUMN]
-        monthly = with_month(rows.select(*columns), date_column)
-        pending = self.path("pending", f"{layer}.{name}")
-        writer = self._month_writer(monthly, sort_columns).mode("overwrite")
-        writer.option("partitionOverwriteMode", "static").parquet(pending)
-        files, place = self._files(f"{pending}/{_WHOLE}")
-        marker = files.create(place)
-        marker.writeUTF(",".join(sort_columns))
-        marker.close()
-        self._swap(layer, name, monthly.schema, sort_columns)
+        return self._write(layer, name, rows.select(*columns), date_column, sort_columns, True, months)
 
-    def _files(self, path: str):
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+    def _write(
+        self, layer: str, name: str, rows: DataFrame, date_column: str, sort_columns: tuple[str, ...], replace: bool,
+        emptied: Collection[int] = (),
+    ) -> list[Part]:
+        """Write the rows under a number of their own, then commit: a write that breaks has changed nothing.
 
-    def _swap(self, layer: str, name: str, schema: T.StructType, sort_columns: tuple[str, ...]) -> None:
-        pending = self.path("pending", f"{layer}.{name}")
-        (
-            self._month_writer(self.spark.read.schema(schema).parquet(pending), sort_columns)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(self.path(layer, name))
+        Its folder is written over by the next write, which has the same number.
+        """
+        states = self._states(layer, name)
+        last, state = states.latest()
+        number, parts = last + 1, [Part.of_state(entry) for entry in state.get("parts", [])]
+        folder = f"{self.path(layer, name)}/{_WRITE}={number}"
+        monthly = with_month(rows, date_column)
+        writer = self._month_writer(monthly, sort_columns).mode("overwrite")
+        writer.option("partitionOverwriteMode", "static").parquet(folder)
+        written = self._described(folder, number, monthly.schema, sort_columns)
+        touched = {p.month for p in written} | set(emptied) if replace else set()
+        if not written and not any(p.month in touched for p in parts):
+            return []
+        after = [p for p in parts if p.month not in touched] + written
+        older = [Part.of_state(entry) for entry in state.get("before", [])]
+        states.commit(
+            number, {"parts": [p.to_state() for p in after], "before": [p.to_state() for p in parts if p not in after]}
         )
-        # The marker goes first: a copy half deleted is not whole.
-        files, place = self._files(f"{pending}/{_WHOLE}")
-        files.delete(place, False)
-        files, place = self._files(pending)
+        # Replaced a write ago: readers have moved on to the state of this write or the last.
+        for part in older:
+            self.delete_part(layer, name, part)
+        return written
+
+    def _described(self, folder: str, number: int, schema: T.StructType, sort_columns: tuple[str, ...]) -> list[Part]:
+        """Count what was stored: keys and cursor only are read back, one row per month comes out."""
+        stored = self.spark.read.schema(schema).parquet(folder)
+        cursor = F.col(_CURSOR) if _CURSOR in schema.fieldNames() else F.lit(None).cast("timestamp")
+        counted = stored.groupBy(PARTITION_COLUMN).agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.unix_micros(F.max(cursor)).alias("newest"),
+            F.bit_xor(F.xxhash64(*sort_columns, truncate_to_millis(cursor))).alias("digest"),
+        )
+        epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
+        return [
+            Part(r[PARTITION_COLUMN], number, r["rows"], r["newest"] and epoch + timedelta(microseconds=r["newest"]), r["digest"])
+            for r in sorted(counted.collect())
+        ]
+
+    def missing_parts(self, layer: str, name: str) -> list[Part]:
+        """Parts of the state whose folder is gone."""
+        gone = []
+        for part in self.parts(layer, name):
+            files, place = self._files(self._folder(layer, name, part))
+            if not files.exists(place):
+                gone.append(part)
+        return gone
+
+    def forget(self, layer: str, name: str, parts: Collection[Part]) -> None:
+        """Take parts out of a table's state; their rows are to be written anew."""
+        states = self._states(layer, name)
+        last, state = states.latest()
+        gone = {(p.month, p.write) for p in parts}
+        kept = [entry for entry in state.get("parts", []) if (entry[0], entry[1]) not in gone]
+        if gone:
+            states.commit(last + 1, {"parts": kept, "before": []})
+
+    def delete_part(self, layer: str, name: str, part: Part) -> None:
+        """Remove a part's files; the state still names it."""
+        files, place = self._files(self._folder(layer, name, part))
         files.delete(place, True)
 
-    def finish_swaps(self) -> None:
-        """Repeat the month overwrites that broke after their rows were whole.
+    def versions(self, layer: str, name: str) -> dict[str, list[int]]:
+        """Numbers of the writes that made each month; they differ after any write to it."""
+        found: dict[str, list[int]] = {}
+        for part in self.parts(layer, name):
+            found.setdefault(str(part.month), []).append(part.write)
+        return {month: sorted(writes) for month, writes in found.items()}
 
-        For the one job that writes; every job that changes tables starts with it.
-        """
-        files, top = self._files(f"{self.root.rstrip('/')}/pending")
-        if not files.exists(top):
-            return
-        for status in files.listStatus(top):
-            label = status.getPath().getName()
-            files, marker = self._files(f"{self.path('pending', label)}/{_WHOLE}")
-            # An empty marker was lost while it was written, so its swap had not begun.
-            if not files.exists(marker) or not files.getFileStatus(marker).getLen():
-                continue
-            stream = files.open(marker)
-            sort_columns = tuple(c for c in stream.readUTF().split(",") if c)
-            stream.close()
-            schema = self.spark.read.parquet(self.path("pending", label)).schema
-            self._swap(*label.split(".", 1), schema, sort_columns)
+    def built(self, layer: str, name: str) -> StateFolder:
+        """What a derived table was last built or checked from."""
+        return StateFolder(self.spark, f"{self.path(layer, name)}/_built")
+
+    def _files(self, path: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
 
     # Published generations ----------------------------------------------------
 
-    def _commits(self, name: str) -> DataFrame:
-        return self._read(f"{self.path('published', name)}/commits", _COMMIT_SCHEMA)
+    def _generations(self, name: str) -> StateFolder:
+        return StateFolder(self.spark, f"{self.path('published', name)}/_states")
 
     def current_generation(self, name: str) -> int | None:
-        return self._commits(name).agg(F.max(GENERATION)).first()[0]
+        return self._generations(name).latest()[0] or None
 
     def generation_path(self, name: str, generation: int, part: str = "rows") -> str:
         return f"{self.path('published', name)}/{part}/{GENERATION}={generation}"
 
-    def commit_generation(self, name: str, generation: int, committed_at: datetime | None = None) -> None:
+    def commit_generation(
+        self, name: str, generation: int, committed_at: datetime | None = None, note: dict | None = None
+    ) -> None:
         at = parse_instant(committed_at or datetime.now(timezone.utc))
-        row = self.spark.createDataFrame([(generation, at)], _COMMIT_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(f"{self.path('published', name)}/commits")
+        self._generations(name).commit(generation, {"committed_at": at.isoformat(), "note": note or {}})
 
-    def publish(self, name: str, rows: DataFrame, sort_columns: tuple[str, ...] = ()) -> int:
-        """A10: write a full new generation and make it current."""
+    def note(self, name: str) -> dict:
+        """What was said when the current generation was published."""
+        return self._generations(name).latest()[1].get("note", {})
+
+    def publish(self, name: str, rows: DataFrame, sort_columns: tuple[str, ...] = (), note: dict | None = None) -> int:
+        """A10: write a full new generation and make it current; the one before the last is deleted."""
         generation = (self.current_generation(name) or 0) + 1
         # Many small tasks would leave many small files; AQE sizes them from the data.
         sized = rows.hint("rebalance")
         if sort_columns:
             sized = sized.sortWithinPartitions(*sort_columns)
         sized.write.mode("overwrite").parquet(self.generation_path(name, generation))
-        self.commit_generation(name, generation)
+        self.commit_generation(name, generation, note=note)
+        files, place = self._files(self.generation_path(name, generation - 2))
+        files.delete(place, True)
         return generation
 
     def published(self, name: str, schema: T.StructType) -> DataFrame:
         generation = self.current_generation(name)
         if generation is None:
             return self.spark.createDataFrame([], schema)
-        return self._read(self.generation_path(name, generation), schema)
+        return self.spark.read.schema(schema).parquet(self.generation_path(name, generation))
 
     # Views --------------------------------------------------------------------
 

@@ -1,23 +1,15 @@
-"""Stored high-watermark per named job (J4): append-only rows, newest wins."""
+"""Stored high-watermark per named job (J4): one state per job, the newest wins."""
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession, functions as F, types as T
+from pyspark.sql import SparkSession
 
 from tidemark.registry import EPOCH_WATERMARK
 from tidemark.sources.lake import parse_instant
-
-_SCHEMA = T.StructType(
-    [
-        T.StructField("job", T.StringType()),
-        T.StructField("watermark", T.StringType()),
-        T.StructField("position", T.LongType()),
-        T.StructField("written_at", T.TimestampType()),
-    ]
-)
+from tidemark.sources.states import StateFolder
 
 
 class WatermarkStore:
@@ -27,26 +19,13 @@ class WatermarkStore:
         self.spark = spark
         self.path = path
 
-    def _rows(self):
-        try:
-            return self.spark.read.schema(_SCHEMA).parquet(self.path)
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], _SCHEMA)
-
-    def _last(self, job: str):
-        return (
-            self._rows()
-            .where(F.col("job") == job)
-            .agg(F.max_by("watermark", "position"), F.max("position"))
-            .first()
-        )
+    def _states(self, job: str) -> StateFolder:
+        return StateFolder(self.spark, f"{self.path}/job-{quote(job, safe='')}")
 
     def read(self, job: str) -> datetime:
-        return parse_instant(self._last(job)[0] or EPOCH_WATERMARK)
+        return parse_instant(self._states(job).latest()[1].get("watermark", EPOCH_WATERMARK))
 
     def commit(self, job: str, watermark: datetime) -> None:
-        position = (self._last(job)[1] or 0) + 1
-        row = (job, parse_instant(watermark).isoformat(), position, datetime.now(timezone.utc))
-        self.spark.createDataFrame([row], _SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        states = self._states(job)
+        state = {"watermark": parse_instant(watermark).isoformat(), "written_at": datetime.now(timezone.utc).isoformat()}
+        states.commit(states.latest()[0] + 1, state)

@@ -62,6 +62,7 @@ def curate_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
 
     def handle(rows: DataFrame, _number: int) -> None:
-        refresh_curated(lake, spec, stage_increment(lake, spec, rows), rows)
+        staged = stage_increment(lake, spec, rows)
+        refresh_curated(lake, spec, {part.month for part in staged}, staged)
 
     return _run(reader.parquet(feed_path), handle, checkpoint)

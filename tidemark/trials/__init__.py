@@ -38,4 +38,4 @@ def trial(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from tidemark.trials import changes, layers, mappings, models, quality, rules  # noqa: F401
+    from tidemark.trials import changes, layers, mappings, models, quality, reloads, rules  # noqa: F401

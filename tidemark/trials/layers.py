@@ -84,7 +84,7 @@ def a6_curated_months(spark, sf_dir):
     """Curated rebuilt only for the months of each load."""
     lake = new_lake(spark, "curated")
     for part in split_ratings(spark, sf_dir):
-        jobs.refresh_curated(lake, RATINGS, jobs.stage_increment(lake, RATINGS, part))
+        jobs.refresh_curated(lake, RATINGS, {p.month for p in jobs.stage_increment(lake, RATINGS, part)})
     return lake.curated(RATINGS).select(*RATINGS.columns)
 
 
@@ -101,8 +101,8 @@ def a6_curated_holders(spark, sf_dir):
     lake = new_lake(spark, "holders")
     fill_landing(lake, {HOLDERS.name: st.line_holders(spark, sf_dir)})
     for _ in range(2):
-        months = jobs.stage_increment(lake, HOLDERS, lake.landing(HOLDERS))
-    jobs.refresh_curated(lake, HOLDERS, months)
+        staged = jobs.stage_increment(lake, HOLDERS, lake.landing(HOLDERS))
+    jobs.refresh_curated(lake, HOLDERS, {p.month for p in staged})
     kept = ("symbol", "holder_type", "holder_name", "holdings_date", "shares", "market_value", "batch_id")
     return lake.curated(HOLDERS).select(*kept)
 
@@ -154,10 +154,10 @@ def a16_compaction(spark, sf_dir):
     """Staging loaded twice, counted, compacted and counted again."""
     lake = new_lake(spark, "compaction")
     ratings = st.event_ratings(spark, sf_dir)
-    months = [m for _ in range(2) for m in jobs.stage_increment(lake, RATINGS, ratings)]
+    months = {p.month for _ in range(2) for p in jobs.stage_increment(lake, RATINGS, ratings)}
     before = version_counts(lake.staging(RATINGS), RATINGS.key).withColumn("state", F.lit("before"))
     counted = lake.spark.createDataFrame(before.collect(), before.schema)  # one row
-    jobs.compact_staging(lake, RATINGS, sorted(set(months)))
+    jobs.compact_staging(lake, RATINGS, months)
     after = version_counts(lake.staging(RATINGS), RATINGS.key).withColumn("state", F.lit("after"))
     return counted.unionByName(after)
 
@@ -358,7 +358,7 @@ def clean_market(spark, sf_dir) -> dict[str, DataFrame]:
 def p6_refresh_mart(spark, sf_dir):
     """Landing to staging, curated, models, checks, mart and gates; the second run skips."""
     lake = refreshed(spark, sf_dir, "refresh", runs=2)
-    return lake.published(MONTHLY_MART_NAME, MONTHLY_MART_SCHEMA)
+    return lake.monthly(MONTHLY_MART_NAME, MONTHLY_MART_SCHEMA)
 
 
 @trial(
@@ -379,7 +379,7 @@ def p3_models(spark, sf_dir):
     lake = new_lake(spark, "models")
     fill_landing(lake, clean_market(spark, sf_dir))
     jobs.build_models(lake, RUN_AT)
-    summary = lake.published(MONTHLY_SUMMARY_NAME, MONTHLY_SUMMARY_SCHEMA)
+    summary = lake.monthly(MONTHLY_SUMMARY_NAME, MONTHLY_SUMMARY_SCHEMA)
     dimension = lake.published(DIMENSION_NAME, DIMENSION_SCHEMA)
     return summary.join(dimension.select("symbol", "country"), "symbol")
 
@@ -428,7 +428,7 @@ def p5_full_refresh(spark, sf_dir):
     batch = Batch("full", date(2024, 2, 1), RUN_AT, "files")
     decision = jobs.full_refresh(lake, state, "main", path, batch, WINDOW)
     assert decision is Decision.NEW
-    mart = lake.published(MONTHLY_MART_NAME, MONTHLY_MART_SCHEMA)
+    mart = lake.monthly(MONTHLY_MART_NAME, MONTHLY_MART_SCHEMA)
     kept = ("symbol", "year", "month", "trading_days_count", "source_row_count", "avg_open_price", "avg_volume", "company_name")
     return mart.select(*kept)
 
