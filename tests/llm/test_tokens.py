@@ -91,3 +91,13 @@ def test_counts(spark, tmp_path, processor):
         n = len(processor.encode(r[1] or ""))
         want.append(str((r[0], len((r[1] or "").encode()), n, n > 100)))
     assert sorted(str(tuple(r)) for r in found) == sorted(want)
+
+
+def test_a_full_cache_forgets_nothing_in_use(tokenizer):
+    """Heads of a group's texts outnumber the cache, and marks are learnt after them."""
+    encoder = token_files.Encoder(BPE)
+    encoder.first.limit, encoder.first.kept = 8, 4
+    texts = [f"Head{i}*** word{i}, next{i};" for i in range(40)]
+    for _ in range(2):
+        found, sizes = encoder.encode(texts, np.array([2], "<u4").tobytes())
+        assert [x.tolist() for x in np.split(found, np.cumsum(sizes)[:-1])] == [ids(tokenizer, t) for t in texts]

@@ -14,11 +14,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from xxhash import xxh3_128_digest
 
 from tidemark.llm.decontamination import shingles
 from tidemark.llm.graph import components
 from tidemark.llm.simhash import BKTree, _signed, majority
-from tidemark.llm.text import Rolling, fresh_name, mixed, word_hashes
+from tidemark.llm.text import fresh_name, mixed, word_hashes, words_of
 from tidemark.session import ensure_checkpoint_dir
 
 BANDS, ROWS = 20, 4
@@ -26,8 +27,12 @@ _ALL = (1 << 64) - 1
 _MULTIPLY = np.array([mixed(np.array([i + 1], dtype=np.uint64))[0] | np.uint64(1) for i in range(BANDS * ROWS)])
 
 
+def _lower(text: str | None) -> str | None:
+    return text.lower() if text else None
+
+
 def _lowered(text: str | None) -> np.ndarray:
-    return word_hashes(text.lower() if text else None)
+    return word_hashes(_lower(text))
 
 
 def _described(size: int):
@@ -38,8 +43,7 @@ def _described(size: int):
             content, prints, bands = [], [], []
             for text in batch.column("text"):
                 words = _lowered(text.as_py())
-                n = np.array([len(words)])
-                content.append([int(Rolling(words, lane).runs(n * 0, n)[0].view(np.int64)) if len(words) else 0 for lane in (0, 1)])
+                content.append(np.frombuffer(xxh3_128_digest(b" ".join(words_of(_lower(text.as_py())))), dtype=np.int64).tolist())
                 # A repeated line counts once, as it does in the similarity and the bands.
                 own = np.unique(shingles(words, size))
                 prints.append(_signed(majority(own)))

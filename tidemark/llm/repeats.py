@@ -5,8 +5,9 @@ every ``window`` words), so equal passages are cut alike wherever they lie.
 Its blocks are looked up in the index of all documents' blocks; runs of known
 blocks are the long factors of a greedy parse, and need no further look.  At a
 factor's boundary, where a block is unknown but a window's own seed is known elsewhere,
-single windows are looked up in the same way.  Hashes of decisions
-have 128 bits; seeds only choose what is looked up.
+single windows are looked up in the same way.  Words are hashed to two independent
+lanes of 64 bits, and so are the windows and blocks that decide; seeds only choose what
+is looked up.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from xxhash import xxh3_128_digest
 
-from tidemark.llm.text import Rolling, mixed, sliding, word_hashes, words_of
+from tidemark.llm.text import Rolling, mixed, sliding, word_digests, words_of
 
 _SEED = 8
 #: One of so many seeds starts a block, so a block holds about 60 words besides its window.
@@ -26,13 +28,14 @@ _BLOCK_EVERY = 4
 
 
 class Parse:
-    """Seeds and blocks of one text's word hashes."""
+    """Seeds and blocks of one text's word digests (two lanes)."""
 
-    def __init__(self, h: np.ndarray, window: int):
-        n = len(h)
+    def __init__(self, digests: tuple[np.ndarray, np.ndarray], window: int):
+        h, n = digests[0], len(digests[0])
+        self.words = np.stack(digests, axis=1)
         self.window, self.n_windows = window, n - window + 1
         size = min(_SEED, window)
-        self.lanes = (Rolling(h), Rolling(h, 1))
+        self.lanes = (Rolling(h), Rolling(digests[1], 1))
         grams = self.lanes[0].windows(size)
         # A gram is a seed if it is the smallest of some window that lies in the text.
         span = window - size + 1
@@ -46,10 +49,21 @@ class Parse:
         self.starts = np.concatenate([[0], cuts]).astype(np.int64)
         self.ends = np.concatenate([cuts, [self.n_windows]]).astype(np.int64)
 
-    def keys(self, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-        """128 bits for the words under the windows that start in [start, end)."""
-        last = ends + (self.window - 1)
-        return [lane.runs(starts, last).view(np.int64) for lane in self.lanes]
+    def window_keys(self, at: np.ndarray) -> list[np.ndarray]:
+        """128 bits for the words of single windows."""
+        return [lane.runs(at, at + self.window).view(np.int64) for lane in self.lanes]
+
+    def block_keys(self) -> list[np.ndarray]:
+        """128 bits for the words under each block's windows.
+
+        A block may be long, and sums of powers of a radix modulo 2^64 are equal for some long
+        regular texts; the digests of its words are hashed as bytes instead.
+        """
+        view = memoryview(np.ascontiguousarray(self.words)).cast("B")
+        lasts = self.ends + (self.window - 1)
+        found = b"".join(xxh3_128_digest(view[16 * a : 16 * b]) for a, b in zip(self.starts.tolist(), lasts.tolist()))
+        both = np.frombuffer(found, dtype=np.int64).reshape(-1, 2)
+        return [both[:, 0], both[:, 1]]
 
 
 def _groups(batch: pa.RecordBatch, chars: int = 4_000_000):
@@ -72,18 +86,18 @@ def _index_rows(window: int):
             for part in _groups(batch):
                 columns = [[], [], [], [], []]
                 for row, text in zip(part.column("row").to_pylist(), part.column("text").to_pylist()):
-                    hashes = word_hashes(text)
-                    if len(hashes) < window:
+                    digests = word_digests(text)
+                    if len(digests[0]) < window:
                         continue
-                    parse = Parse(hashes, window)
+                    parse = Parse(digests, window)
                     # The same seed twice in a text is one row that says so.
-                    seeds, at, times = np.unique(parse.seed_hash, return_index=True, return_counts=True)
-                    k1, k2 = parse.keys(parse.starts, parse.ends)
+                    seeds, times = np.unique(parse.seed_hash, return_counts=True)
+                    k1, k2 = parse.block_keys()
                     size, many = len(seeds), len(parse.starts)
                     columns[0] += [seeds.view(np.int64), k1]
                     columns[1] += [np.zeros(size, np.int64), k2]
                     columns[2].append(np.full(size + many, row))
-                    columns[3] += [parse.seeds[at], parse.starts]
+                    columns[3] += [np.zeros(size, np.int64), parse.starts]  # a seed's place is never asked for
                     columns[4] += [np.where(times > 1, -1, 0), parse.ends - parse.starts]
                 if columns[2]:
                     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
@@ -105,7 +119,7 @@ def _window_rows(window: int):
                 rows = (part.column(c).to_pylist() for c in ("row", "text"))
                 hits = zip(part.column("seed_keys"), part.column("blocks"), part.column("references"))
                 for row, text, (known_seeds, blocks, references) in zip(*rows, hits):
-                    parse = Parse(word_hashes(text), window)
+                    parse = Parse(word_digests(text), window)
                     # Equal windows have the same smallest gram, and it is a seed of either text.
                     runs = np.flatnonzero(np.concatenate([[True], parse.least[1:] != parse.least[:-1]]))
                     known = np.isin(parse.least[runs], known_seeds.values.to_numpy().view(np.uint64))
@@ -116,7 +130,7 @@ def _window_rows(window: int):
                     chosen = np.where(decided[block_of], reference[block_of], open_)
                     at = np.flatnonzero(chosen)
                     if len(at):
-                        k1, k2 = parse.keys(at, at + 1)
+                        k1, k2 = parse.window_keys(at)
                         for column, values in zip(columns, (k1, k2, np.full(len(at), row), at)):
                             column.append(values)
                 if columns[0]:
@@ -138,7 +152,7 @@ def repeated_spans(docs: DataFrame, window: int = 35) -> DataFrame:
     run, schema = _index_rows(window)
     index = docs.select("row", "text").mapInArrow(run, schema)
     counts = index.groupBy("key1", "key2").agg(
-        F.count("*").alias("n_all"), F.min("row").alias("first_row"), F.min("n").alias("least")
+        F.count("*").alias("n_all"), F.min(F.when(F.col("n") > 0, F.col("row"))).alias("first_row"), F.min("n").alias("least")
     )
     shared = counts.where("n_all > 1 or least < 0").select("key1", "key2", "first_row")
     hits = index.join(shared, ["key1", "key2"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
+from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 #: Mixed odd multipliers of the rolling hashes.
 _RADIX = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -19,22 +20,21 @@ def fresh_name(docs: DataFrame, base: str) -> str:
     return base
 
 
-_IN_WORD = np.ones(256, dtype=bool)
-_IN_WORD[[0x20, *range(0x09, 0x0E)]] = False
-
-
 def words_of(text: str | None) -> list[bytes]:
     """Maximal runs outside space and the characters 9 to 13, as UTF-8; null has none."""
     return text.encode().split() if text else []
 
 
+def word_digests(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Both 64-bit halves of the XXH3-128 of each word of a text, in order: two independent lanes."""
+    both = np.frombuffer(b"".join(map(xxh3_128_digest, words_of(text))), dtype=_U64).reshape(-1, 2)
+    return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
+
+
 def word_hashes(text: str | None) -> np.ndarray:
-    """64-bit hashes of the words of a text, in order."""
-    data = np.frombuffer(text.encode(), dtype=np.uint8) if text else np.zeros(0, dtype=np.uint8)
-    inside = np.zeros(len(data) + 2, dtype=bool)
-    inside[1:-1] = _IN_WORD[data]
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    return Rolling(data.astype(_U64) + _U64(1)).runs(edges[::2], edges[1::2])
+    """XXH3-64 hashes of the words of a text, in order."""
+    words = words_of(text)
+    return np.fromiter(map(xxh3_64_intdigest, words), dtype=_U64, count=len(words))
 
 
 class _Powers:

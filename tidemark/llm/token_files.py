@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.pieces import Tier, cut_at_every_space, segments
 
-_GROUP_CHARS = 2_000_000
+_GROUP_CHARS = 3_000_000
 #: Longer segments are encoded where they stand and not kept, so a cache is bounded in bytes too.
 _KEPT_CHARS = 64
 #: The tokenizer's own pattern cuts between letters, these marks and a line break.
@@ -38,6 +38,9 @@ _PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _LETTER_OF = {b: b for b in _PRINTS} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTS)}
 
 
+_SPACE = chr(_LETTER_OF[0x20])
+
+
 def _byte_letters(text: str) -> str:
     return text.encode().decode("latin-1").translate(_LETTER_OF)
 
@@ -53,7 +56,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.first = Tier(self._encode, limit=50_000)
-        self.after = Tier(self._encode_after, limit=400_000)
+        self.after = Tier(self._encode_after, limit=1_000_000)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return self._packed([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
@@ -65,7 +68,7 @@ class Encoder:
         others = iter(self._encode([" " + s for s, word in zip(wanted, words) if not word]))
         known = iter(
             self._packed(
-                [[t.id for t in tokenize(_byte_letters(" " + s))] for s, word in zip(wanted, words) if word]
+                [[t.id for t in tokenize(_SPACE + s if s.isascii() else _byte_letters(" " + s))] for s, word in zip(wanted, words) if word]
             )
         )
         return [next(known) if word else next(others) for word in words]
@@ -84,10 +87,11 @@ class Encoder:
             return found
         whole, around, cut = set(), set(), []
         for segment in missing:
-            word = segment.rstrip(_MARKS)
             if segment.isalpha():
                 whole.add(segment)
-            elif word.isalpha():
+                continue
+            word = segment.rstrip(_MARKS)
+            if word.isalpha():
                 cut.append((segment, word, (segment[len(word) :],)))
             elif m := _TWO_LINES.fullmatch(segment):
                 word, *rest = m.groups("")
@@ -130,8 +134,9 @@ class Encoder:
         odd = [None if p else self._by_segments(t) if t else b"" for t, p in zip(texts, plain)]
         heads = [t.split(" ", 1)[0] if p else None for t, p in zip(texts, plain)]
         self.first.learn({h for h in heads if h is not None})
-        parts = self._after(known)
-        parts += [self.first[h] if h is not None else o for h, o in zip(heads, odd)]
+        # Taken at once: what is learnt next may make room by forgetting heads.
+        firsts = [self.first[h] if h is not None else o for h, o in zip(heads, odd)]
+        parts = self._after(known) + firsts
         for long in [h for h in self.first if len(h) > _KEPT_CHARS]:
             del self.first[long]
         parts.append(end)
