@@ -9,10 +9,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 _RANK = "_version_rank"
 
 
-def newest_first(columns: Sequence[str]) -> list[Column]:
-    return [F.col(c).desc_nulls_last() for c in columns]
-
-
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """one row per key, the first in ``order`` (names mean newest first).
 
@@ -28,12 +24,10 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
 def newest_value(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str]) -> DataFrame:
     """Newest non-null ``value`` per key; null when the key has none.
 
-    ``max_by`` alone would return the null of a newest row without a value.
+    Rows with a value come first, so the best row of each input task and key is all that is shuffled.
     """
-    newest = F.expr(
-        f"max_by({value}, struct({', '.join(order)})) FILTER (WHERE {value} IS NOT NULL)"
-    )
-    return df.groupBy(*keys).agg(newest.alias(value))
+    rows = df.select(*keys, value, *[c for c in order if c not in (*keys, value)])
+    return latest_by_key(rows, keys, [F.col(value).isNotNull().desc(), *order]).select(*keys, value)
 
 
 def version_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:

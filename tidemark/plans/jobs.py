@@ -44,7 +44,7 @@ from tidemark.registry import (
     VERSION_ORDER,
     TableSpec,
 )
-from tidemark.session import delete_scratch, scratch_path
+from tidemark.session import delete_scratch, scratch_path, size_shuffles
 from tidemark.sources.contracts import require_contract
 from tidemark.sources.envelopes import ENVELOPE_SCHEMA, read_envelopes, with_arrival
 from tidemark.sources.lake import GENERATION, Lake, Part, months_of, newer_than, parse_instant
@@ -282,7 +282,7 @@ def register_views(lake: Lake) -> dict[str, DataFrame]:
 
 
 def refresh_dimension(
-    lake: Lake, views: Mapping[str, DataFrame], built_at: datetime, newest: datetime | None = None, merge: bool = False
+    lake: Lake, views: Mapping[str, DataFrame], built_at: datetime, note: dict | None = None, merge: bool = False
 ) -> DataFrame:
     """The dimension from its state; keys gone from the sources stay.
 
@@ -292,7 +292,7 @@ def refresh_dimension(
     state = models.profile_state(views)
     if merge:
         state = models.merged_profile_state(lake.published(_PROFILE_STATE, models.PROFILE_STATE_SCHEMA), state)
-    lake.publish(_PROFILE_STATE, state, ("symbol",), {"newest": newest.isoformat()} if newest else None)
+    lake.publish(_PROFILE_STATE, state, ("symbol",), note)
     fresh = models.dimension_of(lake.published(_PROFILE_STATE, models.PROFILE_STATE_SCHEMA), built_at)
     current = lake.published(DIMENSION_NAME, DIMENSION_SCHEMA)
     lake.publish(DIMENSION_NAME, replace_by_key(current, fresh, ["symbol"]), ("symbol",))
@@ -300,25 +300,32 @@ def refresh_dimension(
 
 
 def dimension_increment(lake: Lake, built_at: datetime, again: bool = False) -> DataFrame:
-    """Refresh the dimension from the landing parts that are not older than its state."""
+    """Refresh the dimension from the landing parts that are not older than its state and were written since."""
     newest = max(filter(None, (lake.newest("landing", name) for name in TABLES)), default=None)
-    known = lake.note(_PROFILE_STATE).get("newest")
-    if again or not known:
-        return refresh_dimension(lake, staging_views(lake), built_at, newest)
-    since = parse_instant(known)
-    views = staging_views(lake, lambda part: part.newest is not None and part.newest >= since)
-    increment = {name: view.where(F.col("ingested_at") >= F.lit(since)) for name, view in views.items()}
-    return refresh_dimension(lake, increment, built_at, newest, merge=True)
+    note = {"newest": newest and newest.isoformat(), "landing": {name: lake.versions("landing", name) for name in TABLES}}
+    known = lake.note(_PROFILE_STATE)
+    if again or not known.get("newest"):
+        return refresh_dimension(lake, staging_views(lake), built_at, note)
+    since, views = parse_instant(known["newest"]), {}
+    for name, spec in TABLES.items():
+        written = _changed(lake, "landing", name, known["landing"].get(name, {}))
+        rows = lake.landing(spec, lambda p, months=written: p.month in months and p.newest is not None and p.newest >= since)
+        views[name] = models.staging_view(rows.where(F.col("ingested_at") >= F.lit(since)), spec)
+    return refresh_dimension(lake, views, built_at, note, merge=True)
 
 
 def refresh_fact(lake: Lake, name: str, again: Collection[int] = ()) -> set[int]:
     """J5, C8 on stored facts: rows not older than the fact's own newest cursor, which its state holds, replace
-    their keys; months in ``again`` are taken whole.  Only those months of landing and fact are opened."""
+    their keys; months in ``again`` are taken whole.  Only those months of landing and fact are opened, and
+    of them only what was written since the fact last took it."""
     fact = FACTS[name]
-    spec, since = fact.source, lake.newest("facts", name)
+    spec, since, built = fact.source, lake.newest("facts", name), lake.built("facts", name)
+    number, taken = built.latest()
+    versions = lake.versions("landing", spec.name)
+    written = _changed(lake, "landing", spec.name, taken)
     parts = [
         p for p in lake.parts("landing", spec.name)
-        if since is None or p.month in again or (p.newest is not None and p.newest >= since)
+        if since is None or p.month in again or (p.month in written and p.newest is not None and p.newest >= since)
     ]
     months = {p.month for p in parts}
     if not months:
@@ -330,6 +337,7 @@ def refresh_fact(lake: Lake, name: str, again: Collection[int] = ()) -> set[int]
     current = lake.fact(name, models.fact_stored_schema(fact), lambda part: part.month in months)
     merged = replace_by_key(current.drop(PARTITION_COLUMN), fresh, [fact.surrogate])
     lake.overwrite_months("facts", name, merged, spec.date_column, spec.sort_columns)
+    built.commit(number + 1, versions)
     return months
 
 
@@ -494,6 +502,7 @@ def refresh_from_landing(
     plan = detect_new(lake, state, job)
     if plan.decision in (Decision.EMPTY, Decision.SKIP):
         return plan.decision
+    size_shuffles(lake.spark, lake.stored_bytes("landing"))
     build_models(lake, run_at, again=plan.drifted)
     landing_to_curated(lake, plan)
     build_mart(lake, run_at, window)

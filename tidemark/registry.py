@@ -114,8 +114,8 @@ BASIC_INFO = TableSpec(
         _text("website", "Web address"),
         _text("address", "First address line"),
         _dec("market_cap", 20, 2, "Market capitalisation"),
-        _text("currency", "Quote currency, at most 10 characters"),
-        _text("exchange", "Exchange code, at most 20 characters"),
+        _text("currency", "Quote currency"),
+        _text("exchange", "Exchange code"),
     ),
     checks={
         "employee_count_non_negative": "employee_count >= 0",
@@ -201,9 +201,9 @@ RATINGS = TableSpec(
         _text("symbol", "Ticker, trimmed and upper case", False),
         _field("rating_date", T.DateType(), "Date of the rating action", False),
         _text("firm_name", "Name of the firm", False),
-        _text("to_grade", "Grade after the action, at most 50 characters"),
-        _text("from_grade", "Grade before the action, at most 50 characters"),
-        _text("rating_action", "Kind of action, at most 30 characters"),
+        _text("to_grade", "Grade after the action"),
+        _text("from_grade", "Grade before the action"),
+        _text("rating_action", "Kind of action"),
         _dec("recommendation_score", 8, 4, "Numeric recommendation"),
     ),
     checks={"score_non_negative": "recommendation_score >= 0"},

@@ -47,7 +47,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int =
     Adaptive execution can't split the partitions of an aggregation or a window, so on
     a large input the default number would make each of them too large for a task.
     """
-    wanted = max(200, -(-input_bytes // partition_bytes))
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // partition_bytes))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return wanted
 

@@ -243,6 +243,11 @@ class Lake:
             for r in sorted(counted.collect())
         ]
 
+    def stored_bytes(self, layer: str) -> int:
+        """Bytes below a layer's folder, as the file system counts them."""
+        files, place = self._files(f"{self.root.rstrip('/')}/{layer}")
+        return files.getContentSummary(place).getLength() if files.exists(place) else 0
+
     def missing_parts(self, layer: str, name: str) -> list[Part]:
         """Parts of the state whose folder is gone."""
         gone = []
