@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.pieces import Tier, cut_at_every_space, segments
 
-_GROUP_CHARS = 3_000_000
+_GROUP_CHARS = 2_000_000
 #: Longer segments are encoded where they stand and not kept, so a cache is bounded in bytes too.
 _KEPT_CHARS = 64
 #: The tokenizer's own pattern cuts between letters, these marks and a line break.
@@ -56,7 +56,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.first = Tier(self._encode, limit=50_000)
-        self.after = Tier(self._encode_after, limit=1_000_000)
+        self.after = Tier(self._encode_after, limit=800_000)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return self._packed([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
@@ -164,6 +164,14 @@ def encoder_of(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def forget_encoders() -> None:
+    """Give back the memory of a worker's encoders; the next text to encode makes a new one."""
+    if _ENCODERS:
+        _ENCODERS.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def encoded_groups(encoder: Encoder, texts: pa.Array, end: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first text, ids of a group of texts one after the other, how many each has), each text followed by ``end``."""
     at = 0
@@ -252,6 +260,7 @@ def token_digests(tokens: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32): the unsigned crc32 of the ids as little-endian 32-bit numbers."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()  # all ids are written when they are read back
         for batch in batches:
             lists = batch.column(2)
             ids = lists.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)
