@@ -99,15 +99,17 @@ def round_patterns(
     Patterns that fill less than ``least`` are not used: a cut costs less than their padding.
     """
     full = patterns @ sizes >= least
-    whole = np.where(full, np.floor(uses + 1e-6), 0).astype(int)
-    for p in np.argsort(-uses, kind="stable"):  # rounding errors of the program must not take what isn't there
-        while whole[p] and ((whole @ patterns) > counts).any():
-            whole[p] -= 1
-    left = counts - whole @ patterns
-    for p in np.argsort(-(uses - whole), kind="stable"):
-        while full[p] and uses[p] > 1e-9 and (patterns[p] <= left).all():
-            whole[p] += 1
-            left = left - patterns[p]
+    uses = np.nan_to_num(uses, posinf=0.0)
+    whole, left = np.zeros(len(uses), dtype=int), counts.copy()
+    for ups in (0, 1):
+        for p in np.argsort(-uses if not ups else whole - uses, kind="stable"):
+            if not full[p] or uses[p] <= 1e-9:
+                continue
+            # No more than what is left, whatever rounding errors the program has.
+            room = int((left[patterns[p] > 0] // patterns[p][patterns[p] > 0]).min())
+            times = room if ups else min(room, int(min(uses[p] + 1e-6, room)))
+            whole[p] += times
+            left = left - times * patterns[p]
     return whole
 
 
