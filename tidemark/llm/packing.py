@@ -34,6 +34,26 @@ _PIECES = "doc_id long, start long, length long, {}, doc_tokens long, sequence_i
 
 
 # The linear program -------------------------------------------------------------
+#
+# Its products and inverses are sums of numpy's own: a driver's BLAS threads were seen to hang in an inversion.
+
+
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """Inverse by elimination with row pivots."""
+    n = len(matrix)
+    both = np.hstack([matrix.astype(float), np.eye(n)])
+    for i in range(n):
+        pivot = i + int(np.abs(both[i:, i]).argmax())
+        both[[i, pivot]] = both[[pivot, i]]
+        both[i] /= both[i, i]
+        factors = both[:, i].copy()
+        factors[i] = 0
+        both -= factors[:, None] * both[i]
+    return both[:, n:]
+
+
+def times_vector(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    return (matrix * vector).sum(axis=1)
 
 
 def best_pattern(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -68,15 +88,15 @@ def solve_patterns(
     """
     patterns = np.diag((capacity // sizes).astype(float))
     inverse = np.diag(1 / np.diag(patterns))
-    uses, bound = inverse @ counts, counts @ sizes / capacity
+    uses, bound = times_vector(inverse, counts), (counts * sizes).sum() / capacity
     for column in range(1, max_columns + 1):
         prices = inverse.sum(axis=0)
         worth, pattern = best_pattern(prices, sizes, capacity)
         # Prices divided by the best pattern's worth are feasible for the dual: a lower bound.
-        bound = max(bound, prices @ counts / worth)
+        bound = max(bound, (prices * counts).sum() / worth)
         if worth <= 1 + 1e-9 or uses.sum() <= (1 + gap) * bound:
             break
-        change = inverse @ pattern
+        change = times_vector(inverse, pattern)
         rows = np.flatnonzero(change > 1e-9)
         row = rows[(uses[rows] / change[rows]).argmin()]
         step = uses[row] / change[row]
@@ -86,8 +106,8 @@ def solve_patterns(
         others = np.arange(len(sizes)) != row
         inverse[others] -= np.outer(change[others], inverse[row])
         if column % 100 == 0:
-            inverse = np.linalg.inv(patterns.T)
-            uses = np.maximum(inverse @ counts, 0)
+            inverse = inverted(patterns.T)
+            uses = np.maximum(times_vector(inverse, counts), 0)
     return patterns.astype(int), uses
 
 
