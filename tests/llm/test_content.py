@@ -25,7 +25,20 @@ def test_entropy_of_every_window():
 
     found = digest.entropy_levels(np.frombuffer(data, np.uint8))
     assert found.tolist() == [level(data[i : i + 64]) for i in range(len(data) - 63)]
-    assert digest._side_by_side(np.frombuffer(data, np.uint8)).tolist() == found[: len(data) // 64 * 64 : 64].tolist()
+
+
+def test_rarity_counts_every_window(spark, tmp_path):
+    docs = frame(spark, None, tmp_path)
+    want = Counter()
+    for r in awkward():
+        raw = (r[1] or "").encode()
+        for i in range(len(raw) - 63):
+            total = sum(int(digest._TERM[c]) for c in Counter(raw[i : i + 64]).values())
+            want[digest._LEVELS - 1 - total * (digest._LEVELS - 1) // int(digest._TERM[64])] += 1
+    counts = digest.level_counts(docs)
+    assert {i: n for i, n in enumerate(counts.tolist()) if n} == dict(want)
+    ranks = digest.level_ranks(counts)
+    assert sorted(range(len(counts)), key=lambda i: (counts[i], i)) == np.argsort(ranks).tolist()
 
 
 def test_edited_texts(spark, tmp_path):
@@ -163,6 +176,29 @@ def test_toxicity_on_held_out_rows(spark, tmp_path):
     assert toxicity.scored(docs.where("false"), table).count() == 0
 
 
+def test_misspelled_inflections_of_learned_stems(spark, tmp_path):
+    rng = random.Random(12)
+    endings = ["ing", "ed", "er", "ers", "ily", "iest", "ish", "able", "ation", "ly"]
+    rows, labels = [], []
+    for i in range(900):
+        text, bad = words(rng, 40), i % 3 == 0
+        if bad:
+            text[rng.randrange(40)] = "zscumm" + endings[i // 3 % 10]
+        rows.append((i, " ".join(text), *PAD))
+        labels.append((i, 1, int(bad)))
+    docs = frame(spark, rows, tmp_path)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, table)
+    stems = {t.text for t in model.terms if t.stem}
+    assert "zscumm" in stems
+    matcher = toxicity.Automaton(model.terms)
+    for word in ("zscummance", "zscunmance", "zscumance", "zsccummance", "scummance"):
+        assert matcher.match(word) is not None, word
+    # No word of clean texts becomes a hit, however many there are.
+    clean = {w for _, t, *_ in rows for w in t.split() if not w.startswith("zscumm")}
+    assert not [w for w in clean if (m := matcher.match(w)) and m[0] and w not in model.exempt]
+
+
 def test_quotation_weighs_less():
     model = toxicity.Model([toxicity.Term("zidiot", False, 5.0)])
     matcher = toxicity.Matcher(model)
@@ -212,6 +248,20 @@ def test_secrets(spark, tmp_path):
     assert secret_scan.scan(frame(spark, [], tmp_path / "none")).collect() == []
 
 
+def test_long_keys_are_learned_whole(spark, tmp_path):
+    rng = random.Random(13)
+    key = lambda n: "".join(rng.choice("0123456789ABCDEF") for _ in range(n))
+    rows = [(i, f"{' '.join(words(rng, 9))} token={key(200)} {''.join(rng.choice('ghijkl') for _ in range(14))}", *PAD) for i in range(80)]
+    rows.append((900, "token=" + "a" * 5000, *PAD))
+    docs = frame(spark, rows, tmp_path)
+    values = secret_scan.sample_values(docs)
+    assert {len(v) for v in values["assign"]} == {200}
+    formats = secret_scan.infer_formats(values)
+    assert secret_scan.find_spans(f"plain {key(200)} words", formats) == [("learned", 6, 206)]
+    few = secret_scan.sample_values(docs, letters=1000)
+    assert len(few["assign"]) == 5 and few["assign"] == values["assign"][:5]
+
+
 def test_inferred_formats_tell_credentials_apart():
     rng = random.Random(10)
     pick = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))

@@ -60,18 +60,8 @@ def entropy_levels(data: np.ndarray) -> np.ndarray:
     return (_LEVELS - 1 - sums * (_LEVELS - 1) // _TERM[WINDOW]).astype(np.int16)
 
 
-def _side_by_side(data: np.ndarray) -> np.ndarray:
-    """Entropy levels of the windows that lie one after the other."""
-    rows = np.sort(data[: len(data) // WINDOW * WINDOW].reshape(-1, WINDOW), axis=1)
-    ends = np.concatenate([rows[:, 1:] != rows[:, :-1], np.ones((len(rows), 1), dtype=bool)], axis=1).ravel()
-    last = np.flatnonzero(ends)
-    counts = np.diff(np.concatenate([[-1], last]))
-    sums = np.bincount(last // WINDOW, weights=_TERM[counts], minlength=len(rows)).astype(np.int64)
-    return _LEVELS - 1 - sums * (_LEVELS - 1) // _TERM[WINDOW]
-
-
 def level_counts(docs: DataFrame, text_column: str = "text") -> np.ndarray:
-    """Windows of each entropy level over all texts, every byte in one window.
+    """Windows of each entropy level: all windows of all texts.
 
     One row of counts per task reaches the shuffle.
     """
@@ -81,8 +71,7 @@ def level_counts(docs: DataFrame, text_column: str = "text") -> np.ndarray:
         for batch in batches:
             for text in batch.column(0):
                 raw = (text.as_py() or "").encode()
-                if len(raw) >= WINDOW:
-                    total += np.bincount(_side_by_side(np.frombuffer(raw, dtype=np.uint8)), minlength=_LEVELS)
+                total += np.bincount(entropy_levels(np.frombuffer(raw, dtype=np.uint8)), minlength=_LEVELS)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen])], names=["level", "n"])
 

@@ -24,7 +24,7 @@ from tidemark.session import ensure_checkpoint_dir
 _WORD = re.compile(r"\w+")
 #: Marks that open or close a quotation.
 _QUOTES = re.compile('["“”„«»‹›]')
-_STEM_LENGTHS = (4, 5, 6)
+_STEM_LENGTHS = (4, 5, 6, 7)
 #: Words before and after a hit that make its context.
 CONTEXT = 10
 N_FEATURES = 7
@@ -39,7 +39,7 @@ class Term:
     @property
     def edits(self) -> int:
         """One edit is allowed where a term is long enough not to meet other words by it."""
-        return int(len(self.text) >= (7 if self.stem else 5))
+        return int(len(self.text) >= (6 if self.stem else 5))
 
 
 class Automaton:
@@ -242,13 +242,15 @@ def _evidence(n_toxic: int, n_clean: int) -> tuple[Column, Column]:
 
 def train(
     docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
-    label_column: str = "toxic", fit_rows: int = 20_000, max_terms: int = 5_000,
+    label_column: str = "toxic", fit_rows: int = 20_000,
     min_texts: int = 5, min_gain: float = 25.0, min_odds: float = 2.5,
 ) -> Model:
     """Learn the lexicon and the weights from at most ``fit_rows`` labelled texts.
 
     Half of them at most are of either label, drawn by a hash of the id; the
-    constant is set for the shares among all labelled rows.  An id with several labels is
+    constant is set for the shares among all labelled rows.  All terms of those texts that
+    pass the thresholds make the lexicon, and all their clean words that come within an edit
+    of it are exempt; the sample bounds both.  An id with several labels is
     toxic if one says so; labels other than 0 and 1, and null ids, teach nothing.  Without texts
     of both labels the model has no terms and gives the share of label 1.
     """
@@ -291,10 +293,7 @@ def train(
     stems = stems.join(shared.groupBy("term").agg(F.count("*").alias("n")).where("n >= 4"), "term", "left_semi")
     pick = lambda df, stem: [
         Term(r.term, stem, float(r.odds))
-        for r in df.select("term", odds.alias("odds"), gain.alias("gain"))
-        .orderBy(F.desc("gain"), "term")
-        .limit(max_terms)
-        .collect()
+        for r in df.select("term", odds.alias("odds"), gain.alias("gain")).orderBy(F.desc("gain"), "term").collect()
     ]
     terms = pick(words.where(strong & (F.length("term") >= 3)), False) + pick(stems, True)
     automaton = Automaton(terms)
@@ -306,7 +305,7 @@ def train(
             yield pd.Series([m[0] if m else -1 for m in found], dtype="int32")
 
     near = words.where((F.col("clean") > 0) & (odds < min_odds)).where(edits("term") > 0)
-    exempt = frozenset(r.term for r in near.orderBy(F.desc("clean"), "term").limit(10 * max_terms).select("term").collect())
+    exempt = frozenset(r.term for r in near.select("term").collect())
     model = Model(terms, exempt)
     rows = sample.select("toxic", _features_udf(model)(F.col("text")).alias("x")).collect()  # at most fit_rows
     x, y = np.array([r.x for r in rows]), np.array([float(r.toxic) for r in rows])
