@@ -35,7 +35,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as token files; their rows, read back."""
     path = scratch_path(spark, "pipeline-tokens")
-    token_files.write_token_files(docs, path, vocabulary("byte_bpe_50k.json"))
+    # Workers still hold what the stages before took, so this one caches less than by itself.
+    token_files.write_token_files(docs, path, vocabulary("byte_bpe_50k.json"), cached_segments=300_000)
     return token_files.token_digests(token_files.read_token_files(spark, path))
 
 

@@ -48,7 +48,7 @@ def _byte_letters(text: str) -> str:
 class Encoder:
     """Ids of texts as the tokenizers library gives them; those of segments are kept as little-endian bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = 800_000):
         # Spark sets how many cores a machine uses.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -56,7 +56,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.first = Tier(self._encode, limit=50_000)
-        self.after = Tier(self._encode_after, limit=800_000)
+        self.after = Tier(self._encode_after, limit=cached)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return self._packed([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
@@ -154,14 +154,14 @@ class Encoder:
         return ids[places], np.diff(last, prepend=0)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder_of(path: str) -> Encoder:
-    """One encoder per worker, with its caches, for all its tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder_of(path: str, cached: int = 800_000) -> Encoder:
+    """One encoder per worker, with a cache of so many segments, for all its tasks."""
+    if (path, cached) not in _ENCODERS:
+        _ENCODERS[path, cached] = Encoder(path, cached)
+    return _ENCODERS[path, cached]
 
 
 def forget_encoders() -> None:
@@ -191,13 +191,14 @@ def encoded_groups(encoder: Encoder, texts: pa.Array, end: bytes) -> Iterator[tu
 
 def write_token_files(
     docs: DataFrame, path: str, tokenizer_path: str, *, id_column: str = "doc_id", text_column: str = "text",
-    end_id: int = 2, parts: int | None = None, text_bytes_per_part: int = 32 << 20,
+    end_id: int = 2, parts: int | None = None, text_bytes_per_part: int = 32 << 20, cached_segments: int = 800_000,
 ) -> None:
     """Write every row's ids, then ``end_id``, as ORC below ``path``, in ascending order of id.
 
     Null and empty texts are the end id alone.  Null ids come first; rows with
     the same id follow each other, ordered by a hash of their text.  Parts are
-    sized by the bytes of text, measured over all rows, unless ``parts`` is given.
+    sized by the bytes of text, measured over all rows, unless ``parts`` is given.  A worker keeps the
+    ids of at most ``cached_segments`` segments; fewer take more time and less memory.
     ``docs`` must be a table scan: its rows are numbered, so that even a third of
     all rows with one id is spread over parts.
     """
@@ -206,7 +207,7 @@ def write_token_files(
         parts = max(1, -(-total // text_bytes_per_part))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, start = encoder_of(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, part, start = encoder_of(tokenizer_path, cached_segments), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for at, ids, sizes in encoded_groups(encoder, batch.column(1), end):
