@@ -6,7 +6,8 @@ from datetime import date
 
 from pyspark.sql import Column, functions as F
 
-_EDGE_WHITESPACE = r"(?U)^\s+|\s+$"
+#: White_Space of Unicode: what a Unicode-aware pattern takes for white space.
+_WHITESPACE = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def _col(c: Column | str) -> Column:
@@ -14,8 +15,11 @@ def _col(c: Column | str) -> Column:
 
 
 def strip_text(c: Column | str) -> Column:
-    """Trim every kind of whitespace; ``trim`` alone removes only spaces."""
-    return F.regexp_replace(_col(c), _EDGE_WHITESPACE, "")
+    """Trim every kind of whitespace; ``trim`` alone removes only spaces.
+
+    A list of letters is looked up at both ends only; a pattern is tried at every letter.
+    """
+    return F.btrim(_col(c), F.lit(_WHITESPACE))
 
 
 def nullif(c: Column | str, value) -> Column:

@@ -28,18 +28,30 @@ def path_text(payload: Column | str, path: str) -> Column:
     return F.try_variant_get(_col(payload), path, "string")
 
 
-def to_decimal(value: Column | str, precision: int, scale: int) -> Column:
+def read_decimal(value: Column | str, precision: int, scale: int) -> Column:
+    """An unwrapped value as a decimal where it has room, booleans as 0 and 1: see :func:`to_decimal`."""
+    return F.try_variant_get(_col(value), "$", f"decimal({precision},{scale})")
+
+
+def to_decimal(value: Column | str, precision: int, scale: int, read: Column | str | None = None) -> Column:
     """An unwrapped number as a decimal, rounded half up.
 
     A finite number the target has no room for raises, as a database column
     would; text that is no number, booleans, NaN and infinities are null.
-    ``value`` is read more than once, so give it as a column of its own.
+    ``value`` and ``read``, its :func:`read_decimal`, are read more than once, so give them as
+    columns of their own.  Only a 0 or 1 can be a boolean, so no other number is asked for its type.
     """
     v = _col(value)
     target = f"decimal({precision},{scale})"
+    number = read_decimal(v, precision, scale) if read is None else _col(read)
+    no_boolean = F.schema_of_variant(v) != "BOOLEAN"
     finite = F.abs(F.try_variant_get(v, "$", "double")) < float("inf")
-    overflow = F.when(finite, F.raise_error(F.lit(f"number does not fit {target}")).cast(target))
-    return F.when(F.schema_of_variant(v) != "BOOLEAN", F.coalesce(F.try_variant_get(v, "$", target), overflow))
+    overflow = F.when(no_boolean & finite, F.raise_error(F.lit(f"number does not fit {target}")).cast(target))
+    return (
+        F.when(number.isNull(), overflow)
+        .when((number == 0) | (number == 1), F.when(no_boolean, number))
+        .otherwise(number)
+    )
 
 
 def unwrap_decimal(payload: Column | str, path: str, precision: int, scale: int) -> Column:

@@ -12,7 +12,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalars import normalise_symbol, nullif, strip_text
-from tidemark.functions.variants import path_text, to_decimal, unwrap_date, unwrap_long, unwrapped, variant_items
+from tidemark.functions.variants import path_text, read_decimal, to_decimal, unwrap_date, unwrap_long, unwrapped, variant_items
 from tidemark.operators.filters import (
     REASON,
     accepted,
@@ -77,12 +77,13 @@ def _text(path: str) -> Column:
 
 
 def _numbers(df: DataFrame, spec: TableSpec, paths: dict[str, str], payload: Column | str = "payload") -> DataFrame:
-    """Add decimals read from payload members, in two steps: the member is
-    taken out once and the conversion reads it several times."""
+    """Add decimals read from payload members, in steps: the member is taken out
+    once and read as a decimal once, as the conversion asks for both several times."""
     members = {f"_{column}": unwrapped(payload, path) for column, path in paths.items()}
     types = {column: spec.schema[column].dataType for column in paths}
-    converted = {c: to_decimal(f"_{c}", t.precision, t.scale) for c, t in types.items()}
-    return df.withColumns(members).withColumns(converted)
+    read = {f"_read_{c}": read_decimal(f"_{c}", t.precision, t.scale) for c, t in types.items()}
+    converted = {c: to_decimal(f"_{c}", t.precision, t.scale, f"_read_{c}") for c, t in types.items()}
+    return df.withColumns(members).withColumns(read).withColumns(converted)
 
 
 def profile_rows(envelopes: DataFrame, batch: Batch) -> DataFrame:

@@ -72,7 +72,7 @@ def finish_envelopes(raw: DataFrame) -> DataFrame:
         "seq",
         F.struct(
             F.coalesce("load_timestamp", "_written").alias("load"),
-            F.regexp_replace("_file", "[^/]*$", "").alias("folder"),
+            F.expr("left(_file, length(_file) - length(substring_index(_file, '/', -1)))").alias("folder"),
             "seq",
             *_POSITION,
             F.monotonically_increasing_id().alias("_row"),
