@@ -22,6 +22,9 @@ SETTINGS = {
     # The default timestamp encoding has no statistics; with this one a scan for rows after a
     # watermark skips every row group that is older.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Splits that a task can sort or aggregate in memory: with larger ones the map side of an
+    # aggregation or a window spills as soon as the input is large.
+    "spark.sql.files.maxPartitionBytes": "16m",
     # A value that does not fit its column must fail, as a database would.
     "spark.sql.ansi.enabled": "true",
 }

@@ -170,38 +170,43 @@ class Lake:
         """A schema with the month partition behind it."""
         return T.StructType([*schema.fields, T.StructField(PARTITION_COLUMN, T.IntegerType())])
 
-    def _month_writer(self, df: DataFrame, sort_columns: tuple[str, ...]):
+    def _month_writer(self, df: DataFrame, sort_columns: tuple[str, ...], by_month: bool):
         """Rebalanced and clustered rows, one set of files per month.
 
         ``rebalance`` groups rows by month and lets adaptive execution split a
         month that is larger than a task should take, so a hot month is never
-        one file and a small one never many.
+        one file and a small one never many.  Rows that lie by month, as those
+        read from a table of months do, are written by the tasks that hold them.
         """
         return (
-            df.hint("rebalance", PARTITION_COLUMN)
+            (df if by_month else df.hint("rebalance", PARTITION_COLUMN))
             .sortWithinPartitions(PARTITION_COLUMN, *sort_columns)
             .write.partitionBy(PARTITION_COLUMN)
         )
 
-    def append_staging(self, spec: TableSpec, rows: DataFrame) -> list[Part]:
+    def append_staging(self, spec: TableSpec, rows: DataFrame, by_month: bool = False) -> list[Part]:
         """A5: append versions to the month-partitioned staging table."""
-        return self._write("staging", spec.staging_name, rows.select(*spec.columns), spec.date_column, spec.sort_columns, False)
+        return self._write(
+            "staging", spec.staging_name, rows.select(*spec.columns), spec.date_column, spec.sort_columns, False, by_month=by_month
+        )
 
     def overwrite_months(
         self, layer: str, name: str, rows: DataFrame, date_column: str, sort_columns: tuple[str, ...],
-        months: Collection[int] = (),
+        months: Collection[int] = (), by_month: bool = False,
     ) -> list[Part]:
         """Replace exactly the months present in ``rows``, and ``months`` even where no row is left; others stay.
 
+        ``by_month`` says that tasks hold rows of few months each, which then aren't shuffled.
+
         ``rows`` may be derived from the same table: the folders it reads stay until two
         writes later.
         """
         columns = [c for c in rows.columns if c != PARTITION_COLUMN]
-        return self._write(layer, name, rows.select(*columns), date_column, sort_columns, True, months)
+        return self._write(layer, name, rows.select(*columns), date_column, sort_columns, True, months, by_month)
 
     def _write(
         self, layer: str, name: str, rows: DataFrame, date_column: str, sort_columns: tuple[str, ...], replace: bool,
-        emptied: Collection[int] = (),
+        emptied: Collection[int] = (), by_month: bool = False,
     ) -> list[Part]:
         """Write the rows under a number of their own, then commit: a write that breaks has changed nothing.
 
@@ -212,7 +217,7 @@ class Lake:
         number, parts = last + 1, [Part.of_state(entry) for entry in state.get("parts", [])]
         folder = f"{self.path(layer, name)}/{_WRITE}={number}"
         monthly = with_month(rows, date_column)
-        writer = self._month_writer(monthly, sort_columns).mode("overwrite")
+        writer = self._month_writer(monthly, sort_columns, by_month).mode("overwrite")
         writer.option("partitionOverwriteMode", "static").parquet(folder)
         written = self._described(folder, number, monthly.schema, sort_columns)
         touched = {p.month for p in written} | set(emptied) if replace else set()

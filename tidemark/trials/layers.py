@@ -101,7 +101,7 @@ def a6_curated_holders(spark, sf_dir):
     lake = new_lake(spark, "holders")
     fill_landing(lake, {HOLDERS.name: st.line_holders(spark, sf_dir)})
     for _ in range(2):
-        staged = jobs.stage_increment(lake, HOLDERS, lake.landing(HOLDERS))
+        staged = jobs.stage_increment(lake, HOLDERS, lake.landing(HOLDERS), by_month=True)
     jobs.refresh_curated(lake, HOLDERS, {p.month for p in staged})
     kept = ("symbol", "holder_type", "holder_name", "holdings_date", "shares", "market_value", "batch_id")
     return lake.curated(HOLDERS).select(*kept)

@@ -64,10 +64,7 @@ def _profiles(spark, sf_dir, version: int, at: datetime) -> DataFrame:
 
 def land(lake: Lake, spec, rows: DataFrame) -> None:
     """Upsert typed rows into landing, as an ingest of them would leave it."""
-    months = set(jobs.months_of(rows, spec.date_column))
-    current = lake.landing(spec, lambda part: part.month in months).select(*spec.columns)
-    incoming = latest_by_key(rows, spec.key, VERSION_ORDER)
-    lake.overwrite_months("landing", spec.name, replace_by_key(current, incoming, spec.key), spec.date_column, spec.sort_columns)
+    jobs.replace_landed(lake, spec, latest_by_key(rows, spec.key, VERSION_ORDER).select(*spec.columns))
 
 
 _LAKES: dict[tuple[str, str], Lake] = {}
