@@ -128,7 +128,7 @@ def _unknown_symbols(table: str) -> str:
 def k2_model_checks(spark, sf_dir):
     """All checks of dimension, facts and summary, over a dimension that lacks
     the suppliers and over facts with repeated keys (K1-K8, D5, E9)."""
-    market = st.market(spark, sf_dir)
+    market = st.stored_market(spark, sf_dir)
     known = dict(market)
     known.update({n: market[n].where(F.lit(False)) for n in (DAILY_PRICE.name, HOLDERS.name)})
     dimension = models.dimension(known, st.LOADED_AT)

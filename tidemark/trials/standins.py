@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.functions.scalars import truncate_to_millis, year_month
 from tidemark.functions.variants import path_text
 from tidemark.registry import BASIC_INFO, DAILY_PRICE, FUNDAMENTALS, HOLDERS, RATINGS
+from tidemark.session import scratch_path
 
 WINDOW = ("1996-01-01", "1997-12-31")
 LOADED_AT = "2024-02-01T00:00:00Z"
@@ -298,6 +299,16 @@ def market(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def stored_market(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five tables, each derived and written once: for what reads them many times."""
+    stored = {}
+    for name, rows in market(spark, sf_dir).items():
+        path = scratch_path(spark, f"market-{name}")
+        rows.write.parquet(path)
+        stored[name] = spark.read.schema(rows.schema).parquet(path)
+    return stored
+
+
 MARKET_SQL = ",\n".join(
     (ORDER_PROFILES_SQL, DAILY_SQL, ORDER_FUNDAMENTALS_SQL, LINE_HOLDERS_SQL, EVENT_RATINGS_SQL)
 )
