@@ -85,6 +85,14 @@ def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return duplicate_grain(present, keys)
 
 
+def repeated(df: DataFrame, key: str) -> DataFrame:
+    """K2 of a long key: its 64-bit hashes go through the shuffle, and keys themselves only where a hash repeats."""
+    present = df.where(F.col(key).isNotNull())
+    if duplicate_grain(present.select(F.xxhash64(key).alias("place")), ["place"]).isEmpty():
+        return df.sparkSession.createDataFrame([], f"{key} string, row_count bigint")
+    return duplicates(df, [key])
+
+
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """K4."""
     return orphan_counts(child, child_key, parent, parent_key)

@@ -98,7 +98,7 @@ def model_checks(
     for name, fact in FACTS.items():
         df = facts[name]
         sets = {
-            f"{fact.surrogate}_unique": q.duplicates(df, [fact.surrogate]),
+            f"{fact.surrogate}_unique": q.repeated(df, fact.surrogate),
             "symbol_in_dimension": q.orphans(df, "symbol", dimension, "symbol"),
         }
         if name == "fct_stock_daily":

@@ -11,7 +11,7 @@ they see a month before or after a write, never without its rows.  Small derived
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -23,6 +23,8 @@ from tidemark.sources.states import StateFolder
 GENERATION = "generation"
 _WRITE = "write"
 _CURSOR = "ingested_at"
+#: Of all stored tables and scratch copies: keys and digests in text take half the bytes that the default leaves.
+COMPRESSION = "zstd"
 
 
 @dataclass(frozen=True)
@@ -35,17 +37,20 @@ class Part:
     newest: datetime | None = None
     #: Of keys and cursors, whatever their order; parts of a month are combined with ``^``.
     digest: int = 0
+    #: Whether the rows were one per key when they were written.
+    keyed: bool = False
 
     def newer_than(self, instant: datetime) -> bool:
         return self.newest is not None and self.newest > instant
 
     def to_state(self) -> list:
-        return [self.month, self.write, self.rows, self.newest and self.newest.isoformat(), self.digest]
+        entry = [self.month, self.write, self.rows, self.newest and self.newest.isoformat(), self.digest]
+        return [*entry, True] if self.keyed else entry
 
     @staticmethod
     def of_state(entry: list) -> Part:
-        month, write, rows, newest, digest = entry
-        return Part(month, write, rows, newest and parse_instant(newest), digest)
+        month, write, rows, newest, digest, *keyed = entry
+        return Part(month, write, rows, newest and parse_instant(newest), digest, bool(keyed))
 
 
 def with_month(df: DataFrame, date_column: str) -> DataFrame:
@@ -181,32 +186,35 @@ class Lake:
         return (
             (df if by_month else df.hint("rebalance", PARTITION_COLUMN))
             .sortWithinPartitions(PARTITION_COLUMN, *sort_columns)
-            .write.partitionBy(PARTITION_COLUMN)
+            .write.option("compression", COMPRESSION)
+            .partitionBy(PARTITION_COLUMN)
         )
 
-    def append_staging(self, spec: TableSpec, rows: DataFrame, by_month: bool = False) -> list[Part]:
-        """A5: append versions to the month-partitioned staging table."""
+    def append_staging(self, spec: TableSpec, rows: DataFrame, by_month: bool = False, keyed: bool = False) -> list[Part]:
+        """A5: append versions to the month-partitioned staging table; ``keyed`` says they are one per key."""
         return self._write(
-            "staging", spec.staging_name, rows.select(*spec.columns), spec.date_column, spec.sort_columns, False, by_month=by_month
-        )
+            "staging", spec.staging_name, rows.select(*spec.columns), spec.date_column, spec.sort_columns, False,
+            by_month=by_month, keyed=keyed,
+        )
 
     def overwrite_months(
         self, layer: str, name: str, rows: DataFrame, date_column: str, sort_columns: tuple[str, ...],
-        months: Collection[int] = (), by_month: bool = False,
+        months: Collection[int] = (), by_month: bool = False, keyed: bool = False,
     ) -> list[Part]:
         """Replace exactly the months present in ``rows``, and ``months`` even where no row is left; others stay.
 
-        ``by_month`` says that tasks hold rows of few months each, which then aren't shuffled.
+        ``by_month`` says that tasks hold rows of few months each, which then aren't shuffled;
+        ``keyed``, that the rows are one per key.
 
         ``rows`` may be derived from the same table: the folders it reads stay until two
         writes later.
         """
         columns = [c for c in rows.columns if c != PARTITION_COLUMN]
-        return self._write(layer, name, rows.select(*columns), date_column, sort_columns, True, months, by_month)
+        return self._write(layer, name, rows.select(*columns), date_column, sort_columns, True, months, by_month, keyed)
 
     def _write(
-        self, layer: str, name: str, rows: DataFrame, date_column: str, sort_columns: tuple[str, ...], replace: bool,
-        emptied: Collection[int] = (), by_month: bool = False,
+        self, layer: str, name: str, rows: DataFrame, date_column: str, sort_columns: tuple[str, ...], replacing: bool,
+        emptied: Collection[int] = (), by_month: bool = False, keyed: bool = False,
     ) -> list[Part]:
         """Write the rows under a number of their own, then commit: a write that breaks has changed nothing.
 
@@ -219,8 +227,8 @@ class Lake:
         monthly = with_month(rows, date_column)
         writer = self._month_writer(monthly, sort_columns, by_month).mode("overwrite")
         writer.option("partitionOverwriteMode", "static").parquet(folder)
-        written = self._described(folder, number, monthly.schema, sort_columns)
-        touched = {p.month for p in written} | set(emptied) if replace else set()
+        written = [replace(p, keyed=keyed) for p in self._described(folder, number, monthly.schema, sort_columns)]
+        touched = {p.month for p in written} | set(emptied) if replacing else set()
         if not written and not any(p.month in touched for p in parts):
             return []
         after = [p for p in parts if p.month not in touched] + written
@@ -319,7 +327,7 @@ class Lake:
         sized = rows.hint("rebalance")
         if sort_columns:
             sized = sized.sortWithinPartitions(*sort_columns)
-        sized.write.mode("overwrite").parquet(self.generation_path(name, generation))
+        sized.write.mode("overwrite").option("compression", COMPRESSION).parquet(self.generation_path(name, generation))
         self.commit_generation(name, generation, note=note)
         files, place = self._files(self.generation_path(name, generation - 2))
         files.delete(place, True)
@@ -345,6 +353,11 @@ def months_of(df: DataFrame, date_column: str) -> list[int]:
     return sorted(row[0] for row in df.select(month.alias("m")).distinct().collect() if row[0] is not None)
 
 
+def laid_by_month(df: DataFrame, date_column: str) -> DataFrame:
+    """Rows of a month in few tasks, a month too large for one task in several."""
+    return with_month(df, date_column).hint("rebalance", PARTITION_COLUMN)
+
+
 def only_months(df: DataFrame, months: list[int]) -> DataFrame:
     """Partition predicate for a list of months."""
     predicate: Column = F.col(PARTITION_COLUMN).isin(months) if months else F.lit(False)

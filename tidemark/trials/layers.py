@@ -63,8 +63,11 @@ def fill_landing(lake: Lake, tables: dict[str, DataFrame]) -> None:
     """Store landing tables: one row per key, as landing holds them."""
     for name, rows in tables.items():
         spec = TABLES[name]
-        current = latest_by_key(rows, spec.key, VERSION_ORDER)
-        lake.overwrite_months("landing", name, current, spec.date_column, spec.sort_columns)
+        place = [c for c in st.PLACE if c in rows.columns]
+        current = latest_by_key(rows, [*place, *spec.key], VERSION_ORDER).drop(*place)
+        lake.overwrite_months(
+            "landing", name, current, spec.date_column, spec.sort_columns, by_month=bool(place), keyed=True
+        )
 
 
 @trial(
@@ -99,7 +102,7 @@ def a6_curated_months(spark, sf_dir):
 def a6_curated_holders(spark, sf_dir):
     """Seven years of months, staged twice; the second copy changes nothing."""
     lake = new_lake(spark, "holders")
-    fill_landing(lake, {HOLDERS.name: st.line_holders(spark, sf_dir)})
+    fill_landing(lake, {HOLDERS.name: st.line_holders(spark, sf_dir, dealt=True)})
     for _ in range(2):
         staged = jobs.stage_increment(lake, HOLDERS, lake.landing(HOLDERS), by_month=True)
     jobs.refresh_curated(lake, HOLDERS, {p.month for p in staged})
@@ -312,7 +315,7 @@ def j1_decisions(spark, sf_dir):
     lake = new_lake(spark, "decisions")
     state = WatermarkStore(spark, f"{lake.root}/state")
     plans = [jobs.detect_new(lake, state, "main")]
-    fill_landing(lake, st.market(spark, sf_dir))
+    fill_landing(lake, st.market(spark, sf_dir, dealt=True))
     plans.append(jobs.detect_new(lake, state, "main"))
     state.commit("main", plans[-1].latest)
     plans.append(jobs.detect_new(lake, state, "main"))
@@ -344,7 +347,7 @@ def refreshed(spark, sf_dir, label: str, runs: int = 1):
 def clean_market(spark, sf_dir) -> dict[str, DataFrame]:
     """The market tables with loads of the last day, so that the freshness check passes."""
     loaded = F.lit("2024-01-31T12:00:00Z").cast("timestamp")
-    return {name: df.withColumn("ingested_at", loaded) for name, df in st.market(spark, sf_dir).items()}
+    return {name: df.withColumn("ingested_at", loaded) for name, df in st.market(spark, sf_dir, dealt=True).items()}
 
 
 @trial(
@@ -477,7 +480,7 @@ def p7_dimension_history(spark, sf_dir):
 def j8_replay(spark, sf_dir):
     """A load repeated from the start leaves curated as it was."""
     lake = new_lake(spark, "replay")
-    fill_landing(lake, {BASIC_INFO.name: st.order_profiles(spark, sf_dir)})
+    fill_landing(lake, {BASIC_INFO.name: st.order_profiles(spark, sf_dir, dealt=True)})
     for _ in range(2):
         jobs.sync_increment(lake, datetime(1970, 1, 1, tzinfo=timezone.utc))
     return lake.curated(BASIC_INFO).select("symbol", "snapshot_date", "company_name", "market_cap")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.functions.scalars import truncate_to_millis, year_month
 from tidemark.functions.variants import path_text
 from tidemark.registry import BASIC_INFO, DAILY_PRICE, FUNDAMENTALS, HOLDERS, RATINGS
+from tidemark.plans.jobs import dealt_by_month, largest_month
 from tidemark.session import scratch_path
 
 WINDOW = ("1996-01-01", "1997-12-31")
@@ -25,16 +26,35 @@ def tagged(prefix: str, key: str) -> Column:
     return F.concat(F.lit(prefix), F.col(key).cast("string"))
 
 
+#: Columns of rows that are dealt by month: rows of one key and place are in one task.
+PLACE = ("_month", "_bucket")
+
+
 def _typed(df: DataFrame, spec) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
+    places = [c for c in PLACE if c in df.columns]
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields], *places)
+
+
+def _dealt(rows: DataFrame, spec, dealt: bool) -> tuple[DataFrame, tuple[str, ...]]:
+    """With ``dealt``, rows of a month in a few tasks; a table of months is then written from the same tasks."""
+    if not dealt:
+        return rows, ()
+    return dealt_by_month(rows, spec.date_column, spec.key, largest_month(rows, spec.date_column))
 
 
-def daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_prices(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """One row per supplier and ship date: first, highest, lowest and last price."""
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    lines, place = _dealt(
+        table(spark, sf_dir, "lineitem").select(
+            tagged("S", "l_suppkey").alias("symbol"), F.to_date("l_shipdate").alias("price_date"),
+            "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity",
+        ),
+        DAILY_PRICE,
+        dealt,
+    )
     daily = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(tagged("S", "l_suppkey").alias("symbol"), F.to_date("l_shipdate").alias("price_date"))
+        lines.groupBy(*place, "symbol", "price_date")
         .agg(
             F.min_by("l_extendedprice", order).alias("open_price"),
             F.max("l_extendedprice").alias("high_price"),
@@ -121,7 +141,7 @@ SUPPLIER_PROFILES_SQL = """supplier_profiles AS (
   FROM supplier, (SELECT unnest([1, 2]) AS version) AS versions)"""
 
 
-def order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_profiles(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """One profile version per order: the customer as it was on that day."""
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
@@ -130,7 +150,7 @@ def order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         places, F.col("c_nationkey") == F.col("n_nationkey")
     )
     day = F.col("o_orderdate").cast("timestamp")
-    return _typed(
+    profiles = _typed(
         joined.select(
             tagged("C", "o_custkey").alias("symbol"),
             F.to_date("o_orderdate").alias("snapshot_date"),
@@ -153,6 +173,10 @@ def order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         BASIC_INFO,
     )
+    if not dealt:
+        return profiles
+    # A month has no more profiles than orders.
+    return dealt_by_month(profiles, "snapshot_date", BASIC_INFO.key, largest_month(orders, "o_orderdate"))[0]
 
 
 ORDER_PROFILES_SQL = """order_profiles AS (
@@ -169,11 +193,11 @@ ORDER_PROFILES_SQL = """order_profiles AS (
   JOIN region ON n_regionkey = r_regionkey)"""
 
 
-def event_ratings(spark: SparkSession, sf_dir: str, in_millis: bool = True) -> DataFrame:
+def event_ratings(spark: SparkSession, sf_dir: str, in_millis: bool = True, dealt: bool = False) -> DataFrame:
     """One rating version per event."""
     at = F.col("ts").cast("timestamp")
     k = path_text(F.try_parse_json("props"), "$.k").cast("int")
-    return _typed(
+    ratings = _typed(
         table(spark, sf_dir, "events").select(
             tagged("U", "user_id").alias("symbol"),
             F.to_date("ts").alias("rating_date"),
@@ -188,6 +212,7 @@ def event_ratings(spark: SparkSession, sf_dir: str, in_millis: bool = True) -> D
         ),
         RATINGS,
     )
+    return _dealt(ratings, RATINGS, dealt)[0]
 
 
 EVENT_RATINGS_SQL = """event_ratings AS (
@@ -200,13 +225,17 @@ EVENT_RATINGS_SQL = """event_ratings AS (
   FROM events)"""
 
 
-def order_fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_fundamentals(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """Quarterly totals per customer."""
     amount = F.col("o_totalprice").cast("decimal(18,2)")
     quarter_end = F.last_day(F.add_months(F.trunc("o_orderdate", "quarter"), 2))
+    orders = table(spark, sf_dir, "orders").select(
+        tagged("C", "o_custkey").alias("symbol"), quarter_end.alias("statement_date"), "o_totalprice", "o_orderstatus", "o_orderdate"
+    )
+    period = F.when(F.month("statement_date") == 12, "annual").otherwise("quarterly")
+    orders, place = _dealt(orders.withColumn("period_type", period), FUNDAMENTALS, dealt)
     rows = (
-        table(spark, sf_dir, "orders")
-        .groupBy(tagged("C", "o_custkey").alias("symbol"), quarter_end.alias("statement_date"))
+        orders.groupBy(*place, "symbol", "statement_date", "period_type")
         .agg(
             F.sum(amount).alias("total_assets"),
             F.sum(F.when(F.col("o_orderstatus") == "F", amount)).alias("total_debt"),
@@ -216,7 +245,6 @@ def order_fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumns(
             {
-                "period_type": F.when(F.month("statement_date") == 12, "annual").otherwise("quarterly"),
                 "currency": F.lit(None),
                 "source_system": F.lit("orders"),
                 "batch_id": F.concat(F.lit("b"), F.year("statement_date").cast("string")),
@@ -242,7 +270,7 @@ ORDER_FUNDAMENTALS_SQL = """order_fundamentals AS (
   GROUP BY symbol, statement_date)"""
 
 
-def line_holders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_holders(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """Quarterly positions of part groups in suppliers."""
     kind = (
         F.when(F.col("l_returnflag") == "A", "institution")
@@ -250,14 +278,21 @@ def line_holders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("insider")
     )
     quarter_end = F.last_day(F.add_months(F.trunc("l_shipdate", "quarter"), 2))
-    rows = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(
+    lines, place = _dealt(
+        table(spark, sf_dir, "lineitem").select(
             tagged("S", "l_suppkey").alias("symbol"),
             kind.alias("holder_type"),
             F.concat(F.lit("H"), (F.col("l_partkey") % 50).cast("string")).alias("holder_name"),
             quarter_end.alias("holdings_date"),
-        )
+            "l_quantity",
+            "l_extendedprice",
+            "l_shipdate",
+        ),
+        HOLDERS,
+        dealt,
+    )
+    rows = (
+        lines.groupBy(*place, "symbol", "holder_type", "holder_name", "holdings_date")
         .agg(
             F.sum("l_quantity").alias("shares"),
             F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("market_value"),
@@ -288,14 +323,14 @@ LINE_HOLDERS_SQL = """line_holders AS (
   GROUP BY symbol, holder_type, holder_name, holdings_date)"""
 
 
-def market(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def market(spark: SparkSession, sf_dir: str, dealt: bool = False) -> dict[str, DataFrame]:
     """All five tables; profiles and ratings hold several versions per key."""
     return {
-        BASIC_INFO.name: order_profiles(spark, sf_dir),
-        DAILY_PRICE.name: daily_prices(spark, sf_dir),
-        FUNDAMENTALS.name: order_fundamentals(spark, sf_dir),
-        HOLDERS.name: line_holders(spark, sf_dir),
-        RATINGS.name: event_ratings(spark, sf_dir),
+        BASIC_INFO.name: order_profiles(spark, sf_dir, dealt=dealt),
+        DAILY_PRICE.name: daily_prices(spark, sf_dir, dealt),
+        FUNDAMENTALS.name: order_fundamentals(spark, sf_dir, dealt),
+        HOLDERS.name: line_holders(spark, sf_dir, dealt),
+        RATINGS.name: event_ratings(spark, sf_dir, dealt=dealt),
     }
 
 
