@@ -64,7 +64,9 @@ def _profiles(spark, sf_dir, version: int, at: datetime) -> DataFrame:
 
 def land(lake: Lake, spec, rows: DataFrame) -> None:
     """Upsert typed rows into landing, as an ingest of them would leave it."""
-    jobs.replace_landed(lake, spec, latest_by_key(rows, spec.key, VERSION_ORDER).select(*spec.columns))
+    place = [c for c in st.PLACE if c in rows.columns]
+    newest = latest_by_key(rows, [*place, *spec.key], VERSION_ORDER).select(*spec.columns)
+    jobs.replace_landed(lake, spec, newest, by_month=bool(place))
 
 
 _LAKES: dict[tuple[str, str], Lake] = {}
@@ -81,14 +83,14 @@ def two_loads(spark, sf_dir) -> Lake:
 def _refreshed_twice(spark, sf_dir) -> Lake:
     lake = new_lake(spark, "two-loads")
     state = WatermarkStore(spark, f"{lake.root}/state")
-    daily = st.daily_prices(spark, sf_dir)
+    daily = st.daily_prices(spark, sf_dir, dealt=True)
     early = F.col("price_date") < F.lit(_CUT).cast("date")
     raised = F.expr(_RAISED)
     changed = daily.where(raised).withColumns(
         {c: (F.col(c) + 1).cast("decimal(18,6)") for c in ("close_price", "high_price")}
     )
     loads = (
-        (_FIRST, daily.where(early), st.line_holders(spark, sf_dir)),
+        (_FIRST, daily.where(early), st.line_holders(spark, sf_dir, dealt=True)),
         (_SECOND, daily.where(~early).unionByName(changed), None),
     )
     for number, (at, prices, holders) in enumerate(loads, start=1):
