@@ -112,7 +112,7 @@ def write_envelopes(envelopes: DataFrame, root: str, batch_id: str) -> str:
     """A2: write a batch as JSON lines and return its path.
 
     Nulls are written out so that a null and a missing payload member stay
-    distinct; instants are written in UTC.
+    distinct; instants are written in UTC.  Files are compressed.
     """
     path = batch_path(root, batch_id)
     (
@@ -121,6 +121,9 @@ def write_envelopes(envelopes: DataFrame, root: str, batch_id: str) -> str:
         .option("ignoreNullFields", "false")
         .option("timeZone", "UTC")
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        # A compressed file is read by one task, so none gets too large.
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", 500_000)
         .json(path)
     )
     return path
