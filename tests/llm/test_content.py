@@ -274,3 +274,34 @@ def test_inferred_formats_tell_credentials_apart():
     assert not any(formats.gain(t) > formats.threshold for t in plain)
     total = sum(np.exp(formats.ordinary.likelihood("a" * n)) for n in range(0, 30))
     assert total < 1.0 + 1e-9 and pytest.approx(1.0) != 0
+
+
+def test_formats_are_learned_from_all_values(spark, tmp_path):
+    """Every distinct value counts, not some of each kind, and so does every letter of a long one."""
+    rng = random.Random(17)
+    pick = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    keys = [pick("0123456789ABCDEF", 24) for _ in range(1500)] + [pick("0123456789ABCDEF", 5000)]
+    plain = [pick("ghijklmnopqrst", rng.randrange(12, 18)) for _ in range(1400)]
+    rows = [(i, f"token={key} {plain[i % 1400]}", *PAD) for i, key in enumerate(keys)]
+    rows += [(5000 + i, text, *PAD) for i, (_, text, *_) in enumerate(rows[:300])]
+    docs = frame(spark, rows, tmp_path)
+    formats = secret_scan.learn_formats(secret_scan.all_values(docs))
+    seen = lambda a: sum(sum(a.count[q]) for q in a.states)
+    assert seen(formats.kinds["assign"]) == 1500 * 24 + 5000
+    assert sum(formats.kinds["assign"].end[q] for q in formats.kinds["assign"].states) == 1501
+    assert sum(formats.ordinary.end[q] for q in formats.ordinary.states) == len(set(plain))
+    fresh = pick("0123456789ABCDEF", 30)
+    assert secret_scan.find_spans(f"plain {fresh} words", formats) == [("learned", 6, 36)]
+    assert sum(formats.gain(t) > formats.threshold for t in plain) <= 2
+
+
+def test_counted_tree_of_few_values_merges_as_words_do():
+    rng = random.Random(18)
+    words_ = ["".join(rng.choice("abcXYZ019") for _ in range(rng.randrange(12, 30))) for _ in range(200)]
+    found: dict = {}
+    for w in words_:
+        secret_scan._count_prefixes(64)("hex", w, found)
+    tree = secret_scan.Automaton.of_tree({p: n for (_, p), n in found.items()})
+    words_automaton = secret_scan.Automaton(words_)
+    assert len(tree.states) == len(words_automaton.states)
+    assert all(abs(tree.likelihood(w) - words_automaton.likelihood(w)) < 1e-9 for w in words_)

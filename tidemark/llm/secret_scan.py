@@ -1,16 +1,17 @@
 """Secret scans: fixed patterns, and automata inferred from the credentials they find.
 
-Values of each kind of pattern label a sample of credentials.  From its prefix
-tree, states whose outcomes agree statistically are merged into a probabilistic
-automaton; another one is inferred from ordinary tokens.  Every other token of
-every text is scored by how much likelier a credential's format makes it.
+Values of each kind of pattern in all texts label credentials.  Spark counts their
+prefix tree; states whose outcomes agree statistically are merged into a probabilistic
+automaton, whose weights then are counted over all values again.  Another one is inferred
+from ordinary tokens.  Every other token of every text is scored by how much likelier a
+credential's format makes it.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import accumulate
 from math import log, sqrt
@@ -75,6 +76,41 @@ class Automaton:
         self._merge_states()
         self._weigh()
 
+    @classmethod
+    def of_tree(cls, nodes: dict[str, list[int]], alpha: float = 0.05) -> Automaton:
+        """From a counted prefix tree: per prefix of classes, how many values go on with each class, and how many end.
+
+        What lies below the tree is too rare to tell states apart; :meth:`reweigh` then counts every value whole.
+        """
+        made = cls([], alpha)
+        at = {"": 0}
+        for prefix in sorted(nodes, key=len):
+            if prefix not in at:
+                if prefix[:-1] not in at:
+                    continue
+                at[prefix] = made.next[at[prefix[:-1]]][int(prefix[-1])] = made._new()
+            made.count[at[prefix]], made.end[at[prefix]] = list(nodes[prefix][:_N]), nodes[prefix][_N]
+        made._merge_states()
+        made._weigh()
+        return made
+
+    def walk(self, word: str, counts: dict[int, list[int]]) -> None:
+        """Add a value's steps and its end to ``counts``; a step out of the tree goes back to the start."""
+        at = 0
+        for letter in word:
+            c = _CLASS_OF[letter]
+            counts.setdefault(at, [0] * (_N + 1))[c] += 1
+            at = max(0, self.next[at][c])
+        counts.setdefault(at, [0] * (_N + 1))[_N] += 1
+
+    def reweigh(self, counts: dict[int, list[int]]) -> None:
+        """Take the counts of all values' steps; a step that only rare or long values take goes back to the start too."""
+        for q in self.states:
+            found = counts.get(q, [0] * (_N + 1))
+            self.count[q], self.end[q] = list(found[:_N]), found[_N]
+            self.next[q] = [0 if n and to < 0 else to for n, to in zip(self.count[q], self.next[q])]
+        self._weigh()
+
     def _new(self) -> int:
         self.next.append([-1] * _N)
         self.count.append([0] * _N)
@@ -233,6 +269,103 @@ def infer_formats(samples: dict[str, list[str]], false_share: float = 0.001) ->
     return formats
 
 
+def _counted(rows: DataFrame, keys: str, count: Callable[[str, str, dict], None]) -> DataFrame:
+    """Counts of classes and ends by (kind, place) over all values, added up by Spark."""
+    names = [f"n{i}" for i in range(_N + 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[tuple, list[int]] = {}
+            for kind, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                count(kind, value, found)
+            columns = [pa.array([k for k, _ in found], pa.string()), pa.array([p for _, p in found])]
+            columns[1] = columns[1].cast(pa.string() if keys == "string" else pa.int64())
+            columns += [pa.array([n[i] for n in found.values()], pa.int64()) for i in range(_N + 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "place", *names])
+
+    counted = rows.mapInArrow(run, f"kind string, place {keys}, " + ", ".join(f"{n} long" for n in names))
+    return counted.groupBy("kind", "place").agg(*[F.sum(n).alias(n) for n in names])
+
+
+def _count_prefixes(depth: int) -> Callable[[str, str, dict], None]:
+    def count(kind: str, value: str, found: dict) -> None:
+        path = "".join([str(_CLASS_OF[letter]) for letter in value[:depth]])
+        for i, c in enumerate(path):
+            found.setdefault((kind, path[:i]), [0] * (_N + 1))[int(c)] += 1
+        if len(value) < depth:
+            found.setdefault((kind, path), [0] * (_N + 1))[_N] += 1
+
+    return count
+
+
+def all_values(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """(kind, value): every distinct value of each kind, and every distinct ordinary token, of all texts, whole."""
+    ensure_checkpoint_dir(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = set()
+            for text in batch.column(0).to_pylist():
+                if text:
+                    base = base_matches(text)
+                    found.update((kind, value) for _, _, kind, value in base)
+                    found.update((_BACKGROUND, token) for _, _, token in _tokens(text, base))
+            rows = list(found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], names=["kind", "value"]
+            )
+
+    return docs.select(F.col(text_column)).mapInArrow(run, "kind string, value string").distinct().checkpoint()
+
+
+def learn_formats(values: DataFrame, false_share: float = 0.001, nodes: int = 600, depth: int = 64) -> Formats:
+    """Automata of ``values(kind, value)``, one of each kind, and the threshold that leaves ``false_share`` of all ordinary tokens above it.
+
+    All values count.  States are told apart on the prefixes of up to ``depth`` letters that at least one in
+    ``nodes`` values of the kind has, so what the driver holds does not grow with the values; weights come from
+    all letters of all values, and the threshold from the gains of all ordinary tokens (its rank is right to one
+    in 100,000 of them).
+    """
+    totals = {r["kind"]: r["n"] for r in values.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not totals:
+        return Formats()
+    least = F.coalesce(*[F.when(F.col("kind") == k, F.lit(max(1, n // nodes))) for k, n in totals.items()])
+    passing = sum((F.col(f"n{i}") for i in range(1, _N + 1)), F.col("n0"))
+    trees: dict[str, dict[str, list[int]]] = {k: {} for k in totals}
+    for kind, prefix, *counts in _counted(values, "string", _count_prefixes(depth)).where(passing >= least).collect():
+        trees[kind][prefix] = counts
+    automata = {k: Automaton.of_tree(tree) for k, tree in trees.items()}
+
+    def steps(kind: str, value: str, found: dict) -> None:
+        walked: dict[int, list[int]] = {}
+        automata[kind].walk(value, walked)
+        for q, counts in walked.items():
+            known = found.setdefault((kind, q), [0] * (_N + 1))
+            known[:] = [a + b for a, b in zip(known, counts)]
+
+    weights: dict[str, dict[int, list[int]]] = {k: {} for k in totals}
+    for kind, q, *counts in _counted(values, "long", steps).collect():
+        weights[kind][q] = counts
+    for kind, automaton in automata.items():
+        automaton.reweigh(weights[kind])
+    formats = Formats({k: automata[k] for k in KINDS if k in automata}, automata.get(_BACKGROUND))
+    if not formats.kinds or formats.ordinary is None:
+        return formats
+
+    @F.pandas_udf("double")
+    def gain(tokens: pd.Series) -> pd.Series:
+        return tokens.map(formats.gain).astype("float64")
+
+    ordinary = F.col("kind") == _BACKGROUND
+    gains = values.select(ordinary.alias("ordinary"), gain("value").alias("gain"))
+    above, own = gains.agg(
+        F.percentile_approx(F.when(F.col("ordinary"), F.col("gain")), 1 - false_share, 100_000),
+        F.percentile_approx(F.when(~F.col("ordinary"), F.col("gain")), 0.5, 100_000),
+    ).first()
+    formats.threshold = max(0.05, above + 0.25 * max(0.0, own - above))
+    return formats
+
+
 def find_spans(text: str | None, formats: Formats) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the patterns' matches, and of learned formats elsewhere, by start."""
     if not text:
@@ -259,11 +392,11 @@ def secret_spans(text: Column | str, formats: Formats) -> Column:
     return run(text)
 
 
-def scan(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", sample: int = 600) -> DataFrame:
+def scan(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, spans) of every row: the patterns' matches stay, the inferred formats add to them.
 
-    The formats are inferred from at most ``sample`` whole values of each kind, drawn from all texts by
-    hash, so repeated rows don't weigh more.  Repeated rows and null ids come out as they went in.
+    The formats are inferred from all distinct values of all texts, so repeated rows don't weigh more.
+    Repeated rows and null ids come out as they went in.
     """
-    formats = infer_formats(sample_values(docs, text_column, sample))
+    formats = learn_formats(all_values(docs, text_column))
     return docs.select(F.col(id_column).alias("doc_id"), secret_spans(F.col(text_column), formats).alias("spans"))
