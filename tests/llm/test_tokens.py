@@ -101,3 +101,33 @@ def test_a_full_cache_forgets_nothing_in_use(tokenizer):
     for _ in range(2):
         found, sizes = encoder.encode(texts, np.array([2], "<u4").tobytes())
         assert [x.tolist() for x in np.split(found, np.cumsum(sizes)[:-1])] == [ids(tokenizer, t) for t in texts]
+
+
+def test_each_distinct_pre_token_is_kept_once(tokenizer):
+    """Not once more for every mark, quote or line break beside it."""
+    words = ["word", "É", "naïve", "日本", "12²"]
+    texts = [f"{w}{m} {w}{m}{w}\n{w}{m}" for w in words for m in (",", "!!", "...", "'s", " ", "\n\n", "\u00a0 ", "%%%", "'")]
+    encoder = token_files.Encoder(BPE)
+    for _ in range(2):
+        found, sizes = encoder.encode(texts, np.array([2], "<u4").tobytes())
+        assert [x.tolist() for x in np.split(found, np.cumsum(sizes)[:-1])] == [ids(tokenizer, t) for t in texts]
+    pattern = tokenizer.pre_tokenizer.pre_tokenize_str
+    assert sorted(encoder.first) == sorted({t[a:b] for t in texts for _, (a, b) in pattern(t)})
+
+
+def test_every_character_is_cut_as_the_library_cuts_it(tokenizer):
+    chars = [chr(c) for c in (*range(0x300), *range(0x300, 0xD800, 7), *range(0x1F000, 0x20000, 7), 0x10FFFF)]
+    texts = [f"a{c}b {c}c{c}{c} {c} 1{c}2!{c}'{c}'s{c}'s\n{c}" for c in chars]
+    texts += ["'", "'s", "a'", "'re", "'r", "e's't", "!'s", " 's", "\n'll'", "'ve1", "'sx", " ", "a ", " \n", "\n b", "b  \n "]
+    found, sizes = token_files.encoder_of(BPE).encode(texts, np.array([2], "<u4").tobytes())
+    assert [x.tolist() for x in np.split(found, np.cumsum(sizes)[:-1])] == [ids(tokenizer, t) for t in texts]
+
+
+def test_a_trimmed_cache_keeps_what_was_met_first(tokenizer):
+    encoder = token_files.Encoder(BPE, cached=80)
+    texts = [f"a word{i}" for i in range(60)]
+    for _ in range(2):
+        found, sizes = encoder.encode(texts, np.array([2], "<u4").tobytes())
+        assert [x.tolist() for x in np.split(found, np.cumsum(sizes)[:-1])] == [ids(tokenizer, t) for t in texts]
+        encoder.trim()
+        assert len(encoder.first) == 10 and "a" in encoder.first and encoder.first.limit == 80

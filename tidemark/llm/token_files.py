@@ -10,43 +10,49 @@ from __future__ import annotations
 
 import gc
 import os
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate, chain, pairwise
+from itertools import accumulate, chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.pieces import Tier, cut_at_every_space, segments
+from tidemark.llm.pieces import Tier
 
 _GROUP_CHARS = 2_000_000
-#: Longer segments are encoded where they stand and not kept, so a cache is bounded in bytes too.
+#: Longer pre-tokens are encoded where they stand and not kept, so a cache is bounded in bytes too.
 _KEPT_CHARS = 64
-#: The tokenizer's own pattern cuts between letters, these marks and a line break.
-_MARKS = ".,;:!?"
-_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
-_TWO_LINES = re.compile(f"({_LETTERS}+)([{_MARKS}]*)(\n)({_LETTERS}+)([{_MARKS}]*)")
 _COLUMNS = "doc_id long, part int, start_in_part long, n_tokens int, ids array<int>"
 
 
 #: The letter that stands for a byte in the vocabulary: its own where it prints, else the next free one from 256.
 _PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _LETTER_OF = {b: b for b in _PRINTS} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTS)}
+#: 0xff is in no UTF-8; as a line break, which stands for no byte, it separates words.
+_LETTERS = np.array([_LETTER_OF[b] for b in range(255)] + [ord("\n")], dtype="<u4")
 
 
-_SPACE = chr(_LETTER_OF[0x20])
+def _byte_letters(words: list[str]) -> list[str]:
+    """Each word with its bytes' letters."""
+    return _LETTERS[np.frombuffer(b"\xff".join(map(str.encode, words)), np.uint8)].tobytes().decode("utf-32-le").split("\n")
 
 
-def _byte_letters(text: str) -> str:
-    return text.encode().decode("latin-1").translate(_LETTER_OF)
+#: What a character is to the tokenizer's pattern; none yet asked for.
+_LETTER, _DIGIT, _MARK, _WHITE, _UNASKED = range(5)
+_SPACE, _QUOTE = ord(" "), ord("'")
+_SHORT, _LONG = [ord(c) for c in "stmd"], [(ord(a), ord(b)) for a, b in ("re", "ve", "ll")]
 
 
 class Encoder:
-    """Ids of texts as the tokenizers library gives them; those of segments are kept as little-endian bytes."""
+    """Ids of texts as the tokenizers library gives them; those of pre-tokens are kept as little-endian bytes.
+
+    All texts of a group are cut at once where the tokenizer's byte-level pattern cuts them,
+    ``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``: by what its
+    characters are, which the library itself is asked once for each.  Its model then gets pre-tokens that a worker
+    hasn't met.
+    """
 
     def __init__(self, path: str, cached: int = 800_000):
         # Spark sets how many cores a machine uses.
@@ -55,23 +61,14 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.first = Tier(self._encode, limit=50_000)
-        self.after = Tier(self._encode_after, limit=cached)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return self._packed([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        self.cached = cached
+        self.first = Tier(self._encode, limit=cached)
+        self.kinds = np.full(0x110000, _UNASKED, dtype=np.uint8)
 
-    def _encode_after(self, wanted: list[str]) -> list[bytes]:
-        """Letters alone are one pre-token, which the library's model takes as it is; the rest takes the long way."""
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Ids of pre-tokens: the library's model takes them as they are."""
         tokenize = self.tokenizer.model.tokenize
-        words = [s.isalpha() for s in wanted]
-        others = iter(self._encode([" " + s for s, word in zip(wanted, words) if not word]))
-        known = iter(
-            self._packed(
-                [[t.id for t in tokenize(_SPACE + s if s.isascii() else _byte_letters(" " + s))] for s, word in zip(wanted, words) if word]
-            )
-        )
-        return [next(known) if word else next(others) for word in words]
+        return self._packed([[t.id for t in tokenize(word)] for word in _byte_letters(words)])
 
     @staticmethod
     def _packed(found: list[list[int]]) -> list[bytes]:
@@ -79,86 +76,113 @@ class Encoder:
         flat = memoryview(np.fromiter(chain.from_iterable(found), dtype="<u4", count=ends[-1]).tobytes())
         return [bytes(flat[4 * a : 4 * b]) for a, b in pairwise(ends)]
 
-    def _after(self, wanted: list[str]) -> list[bytes]:
-        """Ids of distinct segments with the space before them; a word is encoded once for all marks around it."""
-        found = list(map(self.after.get, wanted))
-        missing = [s for s, ids in zip(wanted, found) if ids is None]
-        if not missing:
-            return found
-        whole, around, cut = set(), set(), []
-        for segment in missing:
-            if segment.isalpha():
-                whole.add(segment)
-                continue
-            word = segment.rstrip(_MARKS)
-            if word.isalpha():
-                cut.append((segment, word, (segment[len(word) :],)))
-            elif m := _TWO_LINES.fullmatch(segment):
-                word, *rest = m.groups("")
-                cut.append((segment, word, tuple(rest)))
-            else:
-                whole.add(segment)
-        whole.update(word for _, word, _ in cut)
-        around.update(x for _, _, rest in cut for x in rest)
-        self.first.learn(around)
-        unknown = [w for w in whole if w not in self.after]
-        fresh = dict(zip(unknown, self.after.encode(unknown)))
-        get = self.first.__getitem__
-        for segment, word, rest in cut:
-            ids = fresh.get(word)
-            fresh[segment] = (self.after[word] if ids is None else ids) + b"".join(map(get, rest))
-        found = [fresh[s] if ids is None else ids for s, ids in zip(wanted, found)]
-        self.after.make_room(len(fresh))
-        self.after.update(entry for entry in fresh.items() if len(entry[0]) <= _KEPT_CHARS)
-        return found
+    def _kind(self, c: str) -> int:
+        """A character is what it makes one pre-token with."""
+        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        return next((kind for kind, x in enumerate("a1!") if len(pieces(x + c + x)) == 1), _WHITE)
+
+    def _starts(self, chars: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """Where pre-tokens start in texts one after the other, which lie between ``edges``."""
+        kinds = self.kinds[chars]
+        if unasked := set(chars[kinds == _UNASKED].tolist()):
+            for c in unasked:
+                self.kinds[c] = self._kind(chr(c))
+            kinds = self.kinds[chars]
+        firsts, lasts = edges[:-1][np.diff(edges) > 0], edges[1:][np.diff(edges) > 0] - 1
+        starts = np.ones(len(chars), dtype=bool)
+        np.not_equal(kinds[1:], kinds[:-1], out=starts[1:])
+        white = kinds == _WHITE
+        # The last white space before a word parts from others before it; if it is a space, the word takes it.
+        parts = white.copy()
+        parts[:-1] &= ~white[1:]
+        parts[lasts] = False
+        starts |= parts
+        starts[1:] &= white[1:] | (chars[:-1] != _SPACE)
+        starts[firsts] = True
+        quotes = np.flatnonzero(chars == _QUOTE)
+        if len(quotes):
+            self._shorten(chars, kinds, edges, quotes, starts)
+        return np.flatnonzero(starts)
 
-    def _by_segments(self, text: str) -> bytes:
-        """Ids of a text with unusual spaces; one with an added token's string is left to the library as a whole."""
-        if any(s in text for s in self.special):
-            return self._encode([text])[0]
-        head, *rest = segments(text)
-        self.first.learn({head})
-        return self.first[head] + b"".join(self._after(rest))
+    @staticmethod
+    def _shorten(chars: np.ndarray, kinds: np.ndarray, edges: np.ndarray, quotes: np.ndarray, starts: np.ndarray) -> None:
+        """Quotes that start a pre-token take the letters of short forms along."""
+        text = np.searchsorted(edges, quotes, side="right")
+        left = edges[text] - quotes - 1
+        before = quotes - 1
+        own = (quotes == edges[text - 1]) | ((chars[before] != _SPACE) & (kinds[before] != _MARK))
+        one, two = (chars[np.minimum(quotes + k, len(chars) - 1)] for k in (1, 2))
+        short = own & (left >= 1) & np.isin(one, _SHORT)
+        long = own & (left >= 2) & np.logical_or.reduce([(one == a) & (two == b) for a, b in _LONG])
+        for found, size in ((short, 1), (long, 2)):
+            starts[quotes[found] + 1] = False
+            starts[(quotes + size + 1)[found & (left > size)]] = True
+
+    def _numbered(self, texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The pre-tokens of all texts, and how many there are up to each text's end."""
+        joined = "".join(texts)
+        chars = np.frombuffer(joined.encode("utf-32-le"), dtype="<u4")
+        edges = np.cumsum([0, *map(len, texts)])
+        starts = self._starts(chars, edges)
+        width = np.ones(len(chars), dtype=np.uint8)
+        for wider in (0x80, 0x800, 0x10000):
+            width += chars >= wider
+        places = np.cumsum(np.append(0, np.add.reduceat(width, starts, dtype=np.int64)))
+        cut = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(joined.encode()))
+        return cut.dictionary_encode(), np.searchsorted(starts, edges[1:])
 
     def encode(self, texts: list[str | None], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each followed by ``end``, and how many each text has.
 
-        Each distinct segment is looked up once; the ids are then gathered by number.
+        Each distinct pre-token is looked up once; the ids are then gathered by number.
         """
         texts = [t or "" for t in texts]
-        plain = [bool(t) and cut_at_every_space(t) and not any(s in t for s in self.special) for t in texts]
-        # A text that isn't plain is one segment of its own.
-        lists = pc.split_pattern(pa.array([t if p else "" for t, p in zip(texts, plain)], pa.large_string()), " ")
-        numbered = lists.values.dictionary_encode()
+        # A text with an added token's string is left to the library as a whole.
+        odd = [i for i, t in enumerate(texts) if any(map(t.__contains__, self.special))]
+        whole = [self.tokenizer.encode(texts[i], add_special_tokens=False).ids for i in odd]
+        for i in odd:
+            texts[i] = ""
+        numbered, after = self._numbered(texts)
         known = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
-        odd = [None if p else self._by_segments(t) if t else b"" for t, p in zip(texts, plain)]
-        heads = [t.split(" ", 1)[0] if p else None for t, p in zip(texts, plain)]
-        self.first.learn({h for h in heads if h is not None})
-        # Taken at once: what is learnt next may make room by forgetting heads.
-        firsts = [self.first[h] if h is not None else o for h, o in zip(heads, odd)]
-        parts = self._after(known) + firsts
-        for long in [h for h in self.first if len(h) > _KEPT_CHARS]:
-            del self.first[long]
-        parts.append(end)
+        parts = self._looked_up(known)
+        # A text ends with the end's ids, or as a whole with its own and those.
+        parts += [end, *(ids + end for ids in self._packed(whole))]
+        closing = np.full(len(texts), len(known))
+        closing[odd] = len(known) + 1 + np.arange(len(odd))
         sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
         ids, at = np.frombuffer(b"".join(parts), dtype="<u4"), np.cumsum(sizes) - sizes
-        edges = lists.offsets.to_numpy()
-        number = numbered.indices.to_numpy().copy()
-        number[edges[:-1]] = len(known) + np.arange(len(texts))
-        number = np.insert(number, edges[1:], len(parts) - 1)
+        number = np.insert(numbered.indices.to_numpy(), after, closing)
         size = sizes[number]
         ends = np.cumsum(size)
         places = np.repeat(at[number] - (ends - size), size)
         places += np.arange(len(places))
-        last = ends[edges[1:] + np.arange(len(texts))]
+        last = ends[after + np.arange(len(texts))]
         return ids[places], np.diff(last, prepend=0)
 
+    def trim(self) -> None:
+        """Keep an eighth of a full cache, met first, where the common pre-tokens are: a worker may wait with it."""
+        common = dict(islice(self.first.items(), self.cached // 8))
+        self.first = Tier(self._encode, common, limit=self.cached - len(common))
+        pa.default_memory_pool().release_unused()
+
+    def _looked_up(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct pre-tokens; new ones are kept."""
+        found = list(map(self.first.get, words))
+        missing = [word for word, ids in zip(words, found) if ids is None]
+        if missing:
+            fresh = self._encode(missing)
+            self.first.make_room(len(fresh))
+            self.first.update(entry for entry in zip(missing, fresh) if len(entry[0]) <= _KEPT_CHARS)
+            new = iter(fresh)
+            found = [next(new) if ids is None else ids for ids in found]
+        return found
+
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
 def encoder_of(path: str, cached: int = 800_000) -> Encoder:
-    """One encoder per worker, with a cache of so many segments, for all its tasks."""
+    """One encoder per worker, with a cache of so many pre-tokens, for all its tasks."""
     if (path, cached) not in _ENCODERS:
         _ENCODERS[path, cached] = Encoder(path, cached)
     return _ENCODERS[path, cached]
@@ -198,7 +222,7 @@ def write_token_files(
     Null and empty texts are the end id alone.  Null ids come first; rows with
     the same id follow each other, ordered by a hash of their text.  Parts are
     sized by the bytes of text, measured over all rows, unless ``parts`` is given.  A worker keeps the
-    ids of at most ``cached_segments`` segments; fewer take more time and less memory.
+    ids of at most ``cached_segments`` pre-tokens; fewer take more time and less memory.
     ``docs`` must be a table scan: its rows are numbered, so that even a third of
     all rows with one id is spread over parts.
     """
@@ -226,6 +250,7 @@ def write_token_files(
                     names=["doc_id", "part", "start_in_part", "n_tokens", "ids"],
                 )
                 start += int(ends[-1])
+        encoder.trim()
 
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
