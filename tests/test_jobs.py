@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
+from pathlib import Path
 from uuid import uuid4
 
 import pyarrow.parquet as pq
@@ -18,6 +19,7 @@ from tidemark.operators.merging import replace_by_key
 from tidemark.plans import jobs, models
 from tidemark.plans.landing import Batch
 from tidemark.registry import DAILY_PRICE, FACTS, MONTHLY_MART_NAME, MONTHLY_MART_SCHEMA, TABLES
+from tidemark.session import shared_directory
 from tidemark.sources.contracts import ContractViolation, contract_report, require_contract
 from tidemark.sources.lake import Lake, in_window
 from tidemark.sources.states import StateFolder
@@ -59,6 +61,30 @@ def test_violation_refuses_the_whole_batch(spark, lake):
     assert all(lake.landing(spec).count() == 0 for spec in TABLES.values())
 
 
+def scratch_folders(spark):
+    return {p.name for p in Path(shared_directory(spark).removeprefix("file:"), "tidemark").glob("*") if p.name.startswith(("batch-", "candidates-"))}
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ingest_reads_mapped_rows_from_a_stored_copy(spark, lake, monkeypatch):
+    """No executor's heap holds the rows of a batch, however large; the copies are deleted, after a refusal too."""
+    before, plans = scratch_folders(spark), []
+    for name, rows_at in (("require_constraints", 0), ("upsert_landing", 2)):
+        step = getattr(jobs, name)
+        monkeypatch.setattr(jobs, name, lambda *args, step=step, at=rows_at: (plans.append(plan_text(args[at])), step(*args)))
+    jobs.ingest_batch(lake, envelopes(spark, *days(), profile()), batch(1))
+    assert len(plans) == 4 and all("FileScan parquet" in p and "InMemoryTableScan" not in p for p in plans)
+    assert lake.landing(DAILY_PRICE).count() == 4
+    with pytest.raises(ConstraintViolation):
+        jobs.ingest_batch(lake, envelopes(spark, ("daily_prices", "A", date(2024, 3, 1), price(5, high=4))), batch(2))
+    with pytest.raises(Exception, match="does not fit"):
+        jobs.ingest_batch(lake, envelopes(spark, ("daily_prices", "A", date(2024, 3, 1), price(10**15))), batch(3))
+    assert scratch_folders(spark) == before and lake.landing(DAILY_PRICE).count() == 4
+
+
 def test_refresh_replay_and_resync(spark, lake):
     state = state_of(lake)
     assert jobs.refresh_from_landing(lake, state, "main", AT, WINDOW) is Decision.EMPTY

@@ -82,6 +82,12 @@ def split_by_dataset(spark: SparkSession, envelopes: DataFrame) -> tuple[DataFra
     return stored.withColumn("dataset", F.when(F.col("part") != _OTHER, F.col("part")).otherwise(F.col("raw_dataset"))), path
 
 
+def stored_rows(rows: DataFrame, path: str) -> DataFrame:
+    """A scratch copy of rows that are read more than once: unlike a cache it takes no executor's memory."""
+    rows.write.option("compression", COMPRESSION).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def upsert_landing(lake: Lake, spec: TableSpec, rows: DataFrame) -> None:
     """A7 on stored landing: only the months the batch touches are read and rewritten."""
     largest = largest_month(rows, spec.date_column)
@@ -104,8 +110,7 @@ def replace_landed(lake: Lake, spec: TableSpec, incoming: DataFrame, by_month: b
     keyed = all(p.keyed for p in there) and set(spec.key) <= set(spec.required)
     scratch = scratch_path(lake.spark, "incoming")
     try:
-        incoming.write.option("compression", COMPRESSION).parquet(scratch)
-        stored = lake.spark.read.schema(incoming.schema).parquet(scratch)
+        stored = stored_rows(incoming, scratch)
         months = set(months_of(stored, spec.date_column))
         if not months:
             return
@@ -122,35 +127,36 @@ def ingest_batch(lake: Lake, envelopes: DataFrame, batch: Batch) -> dict[str, Da
     A constraint violation in any table refuses the whole batch before the
     first write.
     """
-    stored, scratch = split_by_dataset(lake.spark, envelopes)
-    present = {row[0] for row in stored.select("part").distinct().collect()}  # at most one per dataset, plus one
-    candidates = {
-        name: rows.persist(StorageLevel.MEMORY_AND_DISK)
-        for name, rows in map_batch(stored, batch).items()
-        if TABLES[name].dataset in present
-    }
+    spark = lake.spark
+    stored, scratch = split_by_dataset(spark, envelopes)
+    folders = [scratch]
     try:
+        present = {row[0] for row in stored.select("part").distinct().collect()}  # at most one per dataset, plus one
+        candidates = {}
+        for name, rows in map_batch(stored, batch).items():
+            if TABLES[name].dataset in present:
+                folders.append(scratch_path(spark, f"candidates-{name}"))
+                candidates[name] = stored_rows(rows, folders[-1])
         for name, rows in candidates.items():
             spec = TABLES[name]
             require_constraints(accepted(rows), spec.checks, spec.required)
         for name, rows in candidates.items():
             upsert_landing(lake, TABLES[name], accepted(rows))
         reports = {
-            "rows": batch_metrics(candidates) if candidates else lake.spark.createDataFrame([], METRICS_SCHEMA),
+            "rows": batch_metrics(candidates) if candidates else spark.createDataFrame([], METRICS_SCHEMA),
             "skipped": skipped_rows(stored, candidates),
             "datasets": stored.groupBy("dataset").agg(F.count(F.lit(1)).alias("record_count")),
         }
-        # Small results, one row per table, symbol or reason; made now because the inputs are released below.
+        # Small results, one row per table, symbol or reason; made now because the inputs are deleted below.
         written = {}
         for name, report in reports.items():
-            path = scratch_path(lake.spark, f"report-{name}")
+            path = scratch_path(spark, f"report-{name}")
             report.write.parquet(path)
-            written[name] = lake.spark.read.schema(report.schema).parquet(path)
+            written[name] = spark.read.schema(report.schema).parquet(path)
         return written
     finally:
-        for rows in candidates.values():
-            rows.unpersist()
-        delete_scratch(lake.spark, scratch)
+        for folder in folders:
+            delete_scratch(spark, folder)
 
 
 # Landing to staging to curated --------------------------------------------
