@@ -18,7 +18,7 @@ from tidemark.operators.incremental import Decision
 from tidemark.operators.merging import replace_by_key
 from tidemark.plans import jobs, models
 from tidemark.plans.landing import Batch
-from tidemark.registry import DAILY_PRICE, FACTS, MONTHLY_MART_NAME, MONTHLY_MART_SCHEMA, TABLES
+from tidemark.registry import BASIC_INFO, DAILY_PRICE, FACTS, MONTHLY_MART_NAME, MONTHLY_MART_SCHEMA, TABLES
 from tidemark.session import shared_directory
 from tidemark.sources.contracts import ContractViolation, contract_report, require_contract
 from tidemark.sources.lake import Lake, in_window
@@ -85,6 +85,27 @@ def test_ingest_reads_mapped_rows_from_a_stored_copy(spark, lake, monkeypatch):
     assert scratch_folders(spark) == before and lake.landing(DAILY_PRICE).count() == 4
 
 
+def test_reports_read_stored_rows(spark, lake, monkeypatch):
+    """Rows per table, skips and datasets of a batch are counted on its stored copies, not on a cache of it."""
+    plans, metrics, skipped = [], jobs.batch_metrics, jobs.skipped_rows
+    watch = lambda candidates: plans.extend(map(plan_text, candidates.values()))
+    monkeypatch.setattr(jobs, "batch_metrics", lambda candidates: (watch(candidates), metrics(candidates))[1])
+    monkeypatch.setattr(jobs, "skipped_rows", lambda stored, candidates: (watch(candidates), skipped(stored, candidates))[1])
+    odd = [("daily_prices", " ", date(2024, 1, 1), price(1)), ("daily_prices", "B", None, price(1)), ("NONE", "B", None, {})]
+    reports = jobs.ingest_batch(lake, envelopes(spark, *days(), *odd, profile()), batch(1))
+    assert len(plans) == 4 and all("FileScan parquet" in p and "InMemoryTableScan" not in p for p in plans)
+    assert {(r["table_name"], r["symbol"], r["row_count"]) for r in reports["rows"].collect()} == {
+        (DAILY_PRICE.name, "A", 4),
+        (BASIC_INFO.name, "A", 1),
+    }
+    assert {(r["table_name"], r["skip_reason"], r["skipped"]) for r in reports["skipped"].collect()} == {
+        (DAILY_PRICE.name, "missing_symbol", 1),
+        (DAILY_PRICE.name, "missing_date", 1),
+        (None, "unknown_dataset", 1),
+    }
+    assert {tuple(r) for r in reports["datasets"].collect()} == {("daily_prices", 6), ("basics", 1), ("NONE", 1)}
+
+
 def test_refresh_replay_and_resync(spark, lake):
     state = state_of(lake)
     assert jobs.refresh_from_landing(lake, state, "main", AT, WINDOW) is Decision.EMPTY
